@@ -36,7 +36,7 @@ THRESHOLD, CANDIDATE = 75, 0.57
 CHANCE = 2.0**-LOW
 NEEDED = int(np.ceil(MINIMA * (CHANCE + CANDIDATE * (1 - CHANCE))))
 #: Members and bytes of shingles of one block; a cell holds two blocks.
-BLOCK_ROWS, BLOCK_BYTES, BUCKET_ROWS = 1024, 4 << 20, 256
+BLOCK_ROWS, BLOCK_BYTES, BUCKET_ROWS = 1024, 4 << 20, 1024
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RNG = np.random.default_rng(20240229)
