@@ -15,6 +15,7 @@ an empty table gives no rows; other columns are left out.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,7 +23,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -114,8 +114,9 @@ class Tokens:
     white space; so a text cut before its single spaces has the ids of its chunks in a row.
     """
 
-    CHUNKS = 300_000
-    _touching = regex.compile(r"\s\s|<\|")
+    #: Chunks remembered, and the longest that is.
+    CHUNKS, LONGEST = 1_000_000, 64
+    _touching = re.compile(r"\s\s|<\|")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -131,13 +132,15 @@ class Tokens:
                 continue
             head, *tail = text.split(" ")
             chunks = [head, *[" " + c for c in tail]]
-            if new := [c for c in dict.fromkeys(chunks) if c not in self.known]:
+            parts = list(map(self.known.get, chunks))
+            if None in parts:
+                new = list(dict.fromkeys(c for c, x in zip(chunks, parts) if x is None))
+                got = {c: np.array(e.ids, np.uint32).tobytes() for c, e in zip(new, self.batch(new, add_special_tokens=False))}
+                parts = [got[c] if x is None else x for c, x in zip(chunks, parts)]
                 if len(self.known) > self.CHUNKS:
                     self.known.clear()
-                    new = list(dict.fromkeys(chunks))
-                for c, e in zip(new, self.batch(new, add_special_tokens=False)):
-                    self.known[c] = np.array(e.ids, np.uint32).tobytes()
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), np.uint32)
+                self.known.update((c, x) for c, x in got.items() if len(c) <= self.LONGEST)
+            yield np.frombuffer(b"".join(parts), np.uint32)
 
 
 _tokens: dict[str, Tokens] = {}
