@@ -1,4 +1,308 @@
 """Registered queries over the fixture tables, with SQL for those that SQL can state."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.arrays import STATISTICS, normality, sobel, statistics, total
+from ..functions.features import features, intensity_views
+from ..kernels.regions import SHAPE, TEXTURE
+from ..model import channel, channels, columns_of, frame, held, pixel_rows, rows_of
+from ..operators import filters, illumination, masking, normalization, projection, sampling, segmentation
+from . import relational
+from .rasters import IN_CIRCLE, PX, PZ, SIDE, embedding_images, line_images
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+N = 3
+
+
+def _register(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _rounded(struct, names=STATISTICS, p: str = "") -> list:
+    return [F.round(struct[s], 6).alias(f"{p}{s}") for s in names]
+
+
+def _stats_sql(v: str = "v", p: str = "") -> str:
+    """The statistics of the non-null ``v`` in DuckDB, rounded."""
+    m = f"avg({v})"
+    parts = {
+        "mean": m,
+        "max": f"max({v})",
+        "min": f"min({v})",
+        "sum": f"sum({v})",
+        "mad": f"mad({v})",
+        "skewness": f"CASE WHEN var_pop({v}) > 0 THEN (avg({v} * {v} * {v}) - 3 * {m} * avg({v} * {v}) + 2 * {m} * {m} * {m}) / pow(stddev_pop({v}), 3) END",
+        "kurtosis": f"CASE WHEN var_pop({v}) > 0 THEN kurtosis_pop({v}) END",
+        "std": f"stddev_pop({v})",
+        "median": f"quantile_cont({v}, 0.5)",
+        "lower_quartile": f"quantile_cont({v}, 0.25)",
+        "upper_quartile": f"quantile_cont({v}, 0.75)",
+    }
+    return ", ".join(f"round({x}, 6) AS {p}{s}" for s, x in parts.items())
+
+
+def _masked(spark, sf_dir):
+    return masking.apply(masking.make(line_images(spark, sf_dir), "circle"), N)
+
+
+@_register(f"WITH {PX} SELECT event, CAST(channel AS INT) AS channel, {_stats_sql()} FROM px GROUP BY event, channel")
+def raw_intensity(spark, sf_dir):
+    d = held(channels(line_images(spark, sf_dir)), s=statistics(F.col("v")))
+    return d.select("event", "channel", *_rounded(d["s"]))
+
+
+def _views(spark, sf_dir, wanted: list[int], labels: list[str], radius: int = 6):
+    d = _masked(spark, sf_dir)
+    s = F.col("shape")
+    n = frame(s)
+    each = []
+    for k in range(N):
+        views = intensity_views(channel(F.col("pixels"), s, k), F.slice("mask", F.lit(k) * n + 1, n), F.col("combined_mask"), F.get("background", F.lit(k)), F.get("combined_background", F.lit(k)), rows_of(s), columns_of(s), radius)
+        each.append(F.struct(F.lit(k).alias("channel"), *(views[i].alias(p) for i, p in zip(wanted, labels))))
+    d = d.select("event", F.explode(F.array(*each)).alias("x"))
+    return d.select("event", "x.channel", *(c for p in labels for c in _rounded(F.col(f"x.{p}"), p=f"{p}_")))
+
+
+_BG = f"{PX}, bg AS (SELECT event, channel, avg(v) FILTER (NOT {IN_CIRCLE}) AS b FROM px GROUP BY 1, 2), w AS (SELECT px.*, b FROM px JOIN bg USING (event, channel))"
+
+
+@_register(f"WITH {_BG} SELECT event, CAST(channel AS INT) AS channel, {_stats_sql('v', 'own_')}, {_stats_sql('(v - b)', 'bgcorr_')} FROM w WHERE {IN_CIRCLE} GROUP BY event, channel")
+def masked_intensity_circle(spark, sf_dir):
+    return _views(spark, sf_dir, [0, 1], ["own", "bgcorr"])
+
+
+@_register(f"WITH {_BG} SELECT event, CAST(channel AS INT) AS channel, {_stats_sql('v', 'combined_')}, {_stats_sql('(v - b)', 'combined_bgcorr_')} FROM w WHERE {IN_CIRCLE} GROUP BY event, channel")
+def combined_mask_intensity(spark, sf_dir):
+    return _views(spark, sf_dir, [4, 5], ["combined", "combined_bgcorr"])
+
+
+@_register(
+    f"""WITH {_BG}, m AS (SELECT r, c FROM range({SIDE}) a(r), range({SIDE}) b(c) WHERE {IN_CIRCLE}),
+    core AS (SELECT m.r, m.c FROM m JOIN m o ON (o.r - m.r) * (o.r - m.r) + (o.c - m.c) * (o.c - m.c) <= 4 GROUP BY 1, 2 HAVING count(*) = 13),
+    e AS (SELECT * FROM m EXCEPT SELECT * FROM core)
+    SELECT event, CAST(channel AS INT) AS channel, {_stats_sql('v', 'edge_')}, {_stats_sql('(v - b)', 'edge_bgcorr_')} FROM w JOIN e USING (r, c) GROUP BY event, channel"""
+)
+def edge_intensity(spark, sf_dir):
+    """A disk of radius 2 leaves a core in these small frames; the default of 6 leaves none."""
+    return _views(spark, sf_dir, [2, 3], ["edge", "edge_bgcorr"], radius=2)
+
+
+def _projected(op):
+    def query(spark, sf_dir):
+        return pixel_rows(projection.project(line_images(spark, sf_dir, planes=True), op)).withColumn("v", F.round("v", 6))
+
+    query.__name__ = f"zproject_{op}"
+    f = {"max": "max(v)", "mean": "avg(v)", "median": "median(v)"}[op]
+    return _register(f"WITH {PZ} SELECT event, CAST(channel AS INT) AS channel, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round({f}, 6) AS v FROM pz GROUP BY ALL")(query)
+
+
+for _op in ("max", "mean", "median"):
+    _projected(_op)
+
+
+@_register(f"WITH {PX} SELECT grp AS \"group\", CAST(channel AS INT) AS channel, min(v) AS lo, max(v) AS hi FROM px GROUP BY ALL")
+def group_minmax(spark, sf_dir):
+    return normalization.extremes(line_images(spark, sf_dir))
+
+
+@_register(f"WITH {PX} SELECT grp AS \"group\", CAST(channel AS INT) AS channel, min(v) AS lo, max(v) AS hi FROM px WHERE {IN_CIRCLE} GROUP BY ALL")
+def group_minmax_masked(spark, sf_dir):
+    return normalization.extremes(_masked(spark, sf_dir))
+
+
+def _normalized_sql(lo: str, hi: str) -> str:
+    return f"""WITH {PX}, x AS (SELECT grp, channel, {lo} AS lo, {hi} AS hi FROM px GROUP BY ALL)
+    SELECT event, CAST(channel AS INT) AS channel, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round((v - lo) / nullif(hi - lo, 0), 6) AS v FROM px JOIN x USING (grp, channel)"""
+
+
+@_register(_normalized_sql("min(v)", "max(v)"))
+def minmax_normalize(spark, sf_dir):
+    return pixel_rows(normalization.normalize(line_images(spark, sf_dir))[0]).withColumn("v", F.round("v", 6))
+
+
+@_register(_normalized_sql("quantile_cont(v, 0.05)", "quantile_cont(v, 0.95)"))
+def quantile_normalize(spark, sf_dir):
+    return pixel_rows(normalization.normalize(line_images(spark, sf_dir), lower=0.05, upper=0.95)[0]).withColumn("v", F.round("v", 6))
+
+
+@_register(f"WITH {PX} SELECT grp AS \"group\", " + ", ".join(f"{f}(v) FILTER (channel = {k}) AS {n}_{f}" for k, n in enumerate("ANR") for f in ("min", "max")) + " FROM px GROUP BY grp")
+def channel_boundaries(spark, sf_dir):
+    return normalization.channel_boundaries(normalization.extremes(line_images(spark, sf_dir)), list("ANR"))
+
+
+_MEAN = f"{PX}, mu AS (SELECT grp, channel, r, c, avg(v) AS m FROM px GROUP BY ALL)"
+
+
+@_register(f"WITH {_MEAN} SELECT grp AS \"group\", CAST((channel * {SIDE} + r) * {SIDE} + c AS INT) AS i, round(m, 6) AS m FROM mu")
+def illum_mean_image(spark, sf_dir):
+    return illumination.mean_images(line_images(spark, sf_dir), "group").select("group", F.posexplode("avg").alias("i", "m")).withColumn("m", F.round("m", 6))
+
+
+@_register(f"WITH {_MEAN} SELECT event, CAST(channel AS INT) AS channel, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round(v / nullif(m, 0), 6) AS v FROM px JOIN mu USING (grp, channel, r, c)")
+def illum_correct(spark, sf_dir):
+    d = line_images(spark, sf_dir)
+    return pixel_rows(illumination.divide(d, illumination.mean_images(d, "group"), "group")).withColumn("v", F.round("v", 6))
+
+
+@_register(
+    f"""WITH {_MEAN}, o AS (SELECT a.grp, a.channel, a.r, a.c, median(b.m) AS s FROM mu a JOIN range(-1, 2) y(dy) ON true JOIN range(-1, 2) x(dx) ON true
+      JOIN mu b ON b.grp = a.grp AND b.channel = a.channel AND b.r = greatest(0, least({SIDE - 1}, a.r + dy)) AND b.c = greatest(0, least({SIDE - 1}, a.c + dx)) GROUP BY ALL)
+    SELECT event, CAST(channel AS INT) AS channel, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round(v / CASE WHEN s = 0 THEN 1 ELSE s END, 5) AS v FROM px JOIN o USING (grp, channel, r, c)"""
+)
+def illum_correct_median(spark, sf_dir):
+    return pixel_rows(illumination.correct(line_images(spark, sf_dir), "group", median_filter_size=3)).withColumn("v", F.round("v", 5))
+
+
+@_register(
+    f"""WITH {PX}, s AS (SELECT event, sum(v) AS filter_sum FROM px WHERE channel = 0 GROUP BY 1), f AS (SELECT avg(filter_sum) AS mu, stddev_pop(filter_sum) AS sd FROM s)
+    SELECT event, filter_sum, filter_sum > mu - 1.6448536269514722 * sd AS kept FROM s, f"""
+)
+def threshold_filter(spark, sf_dir):
+    return filters.threshold(line_images(spark, sf_dir)).select("event", "filter_sum", F.col("pixels").isNotNull().alias("kept"))
+
+
+def _flags(spark, sf_dir, method, **settings):
+    d = filters.mask_filters(line_images(spark, sf_dir), [{"method": method, "settings": settings}], 0, N)
+    return d.select("event", F.col("pixels").isNotNull().alias("kept"), F.posexplode("mask_filter").alias("channel", "passes"))
+
+
+def _flags_sql(test: str) -> str:
+    return f"WITH {PX}, t AS (SELECT event, channel, {test} AS passes FROM px GROUP BY 1, 2) SELECT event, bool_or(passes AND channel = 0) OVER (PARTITION BY event) AS kept, CAST(channel AS INT) AS channel, passes FROM t"
+
+
+@_register(_flags_sql("stddev_pop(v) > 26"))
+def filter_std(spark, sf_dir):
+    return _flags(spark, sf_dir, "std", threshold=26.0)
+
+
+@_register(_flags_sql("max(v) - min(v) > 120"))
+def filter_range(spark, sf_dir):
+    return _flags(spark, sf_dir, "value_range", threshold=120.0)
+
+
+@_register()
+def filter_normaltest(spark, sf_dir):
+    return _flags(spark, sf_dir, "normaltest")
+
+
+_K2 = """WITH m AS (SELECT vec_id, CAST(count(*) AS DOUBLE) AS n, avg(x) AS mu, var_pop(x) AS m2, skewness(x) AS skewed, kurtosis_pop(x) AS k,
+    avg(x * x * x) - 3 * avg(x) * avg(x * x) + 2 * pow(avg(x), 3) AS m3 FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY 1),
+  a AS (SELECT *, m3 / pow(m2, 1.5) * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y,
+    sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 AS w2,
+    (k + 3 - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) AS x,
+    6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS sb FROM m),
+  b AS (SELECT *, 6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) AS big FROM a)
+  SELECT vec_id AS event, round(pow(asinh(y / sqrt(2 / (w2 - 1))) / sqrt(ln(w2) / 2), 2)
+    + pow((1 - 2 / (9 * big) - cbrt((1 - 2 / big) / (1 + x * sqrt(2 / (big - 4))))) / sqrt(2 / (9 * big)), 2), 6) AS k2 FROM b"""
+
+
+@_register(_K2)
+def normality_statistic(spark, sf_dir):
+    return embedding_images(spark, sf_dir).select("event", F.round(normality(F.col("pixels")), 6).alias("k2"))
+
+
+@_register(f"WITH {PX}, t AS (SELECT event, r, c FROM px WHERE v > 100) SELECT event, coalesce(min(t.r), {SIDE})::INT AS minr, coalesce(min(t.c), {SIDE})::INT AS minc, coalesce(max(t.r) + 1, 0)::INT AS maxr, coalesce(max(t.c) + 1, 0)::INT AS maxc FROM ev LEFT JOIN t USING (event) GROUP BY event")
+def bbox(spark, sf_dir):
+    d = line_images(spark, sf_dir).withColumn("mask", F.transform("pixels", lambda v: v > 100)).withColumn("regions", F.lit(None))
+    return masking.apply(d, N).select("event", "bbox.*")
+
+
+@_register(
+    f"WITH {PX} SELECT event, CAST(channel AS INT) AS channel, " + ", ".join(f"CAST(sum(pow(r, {i}) * pow(c, {j})) AS DOUBLE) AS m{i}{j}" for i in range(4) for j in range(4)) + ", round(var_pop(c), 6) AS t00, round(-covar_pop(r, c), 6) AS t01, round(var_pop(r), 6) AS t11 FROM px WHERE v > 20 GROUP BY event, channel"
+)
+def moments_inertia(spark, sf_dir):
+    """Raw moments and the inertia tensor of the pixels over 20, each frame as one region."""
+    d = channels(line_images(spark, sf_dir))
+    at = F.filter(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1), lambda i: F.get("v", i) > 20)
+    d = held(d, p=F.transform(at, lambda i: F.struct(F.floor(i / F.col("w")).cast("double").alias("r"), F.pmod(i, F.col("w")).cast("double").alias("c")))).where(F.size("p") > 0)
+    m = {(i, j): total(F.transform("p", lambda x, i=i, j=j: F.pow(x.r, F.lit(float(i))) * F.pow(x.c, F.lit(float(j))))) for i in range(4) for j in range(4)}
+    d = held(d, **{f"m{i}{j}": x for (i, j), x in m.items()}).select("event", "channel", *(f"m{i}{j}" for i, j in m))
+    r, c = F.col("m10") / F.col("m00"), F.col("m01") / F.col("m00")
+    return d.withColumns({"t00": F.round(F.col("m02") / F.col("m00") - c * c, 6), "t01": F.round(r * c - F.col("m11") / F.col("m00"), 6), "t11": F.round(F.col("m20") / F.col("m00") - r * r, 6)})
+
+
+_NEAR = f"JOIN range(-1, 2) y(dy) ON true JOIN range(-1, 2) x(dx) ON true JOIN px b ON b.event = a.event AND b.channel = a.channel AND b.r = greatest(0, least({SIDE - 1}, a.r + dy)) AND b.c = greatest(0, least({SIDE - 1}, a.c + dx))"
+
+
+@_register(
+    f"""WITH {PX}, g AS (SELECT a.event, a.channel, a.r, a.c, sum(b.v * -dy * (2 - abs(dx))) AS gy, sum(b.v * -dx * (2 - abs(dy))) AS gx FROM px a {_NEAR} GROUP BY ALL),
+    s AS (SELECT event, channel, sqrt((gy * gy + gx * gx) / 32) AS s FROM g)
+    SELECT event, CAST(channel AS INT) AS channel, round(avg(s), 6) AS sobel_mean, round(stddev_pop(s), 6) AS sobel_std, round(max(s), 6) AS sobel_max, round(min(s), 6) AS sobel_min FROM s GROUP BY 1, 2"""
+)
+def sobel_stats(spark, sf_dir):
+    d = channels(line_images(spark, sf_dir)).withColumn("g", sobel(F.col("v"), F.col("h"), F.col("w")))
+    d = held(d, s=statistics(F.col("g")))
+    return d.select("event", "channel", *(F.round(d["s"][x], 6).alias(f"sobel_{x}") for x in ("mean", "std", "max", "min")))
+
+
+for _name, _f in relational.QUERIES.items():
+    QUERIES[_name] = _f
+ORACLE_SQL |= relational.ORACLE_SQL
+
+
+@_register()
+def sample_k(spark, sf_dir):
+    return sampling.sample(line_images(spark, sf_dir), 8).select("event", "group")
+
+
+@_register()
+def sample_k_replace(spark, sf_dir):
+    return sampling.sample_with_replacement(line_images(spark, sf_dir), 200).select("_draw", "event", "group")
+
+
+def _mask_query(method: str, **settings):
+    def query(spark, sf_dir):
+        d = masking.make(line_images(spark, sf_dir), method, **settings)
+        return d.select("event", "regions", F.aggregate(F.transform("mask", lambda m: m.cast("int")), F.lit(0), lambda a, x: a + x).alias("area"))
+
+    query.__name__ = f"mask_{method}"
+    _register()(query)
+
+
+for _m, _s in (("li", {"smooth": 0.75}), ("otsu", {}), ("sobel", {}), ("spot", {"spotsize": 3}), ("watershed", {"noisy_channels": [1]})):
+    _mask_query(_m, **_s)
+
+
+@_register()
+def segment_watershed(spark, sf_dir):
+    d = segmentation.segment(line_images(spark, sf_dir), "watershed_dapi", {"cell_diameter": 4, "dapi_channel_index": 0})
+    return d.select("event", "id", "bbox.*", F.size("pixels").alias("n"))
+
+
+@_register()
+def shape_full(spark, sf_dir):
+    return features(_masked(spark, sf_dir), list("ANR"), ["shape"])
+
+
+@_register()
+def texture_full(spark, sf_dir):
+    return features(_masked(spark, sf_dir), list("ANR"), ["texture"])
+
+
+@_register()
+def pipeline_full(spark, sf_dir):
+    """Planes, illumination, filters, masks, normalisation and all features, by the plan layer."""
+    from ..plans.pipeline import build
+
+    config = {
+        "load": {"channels": [0, 1, 2], "channel_names": list("ANR")},
+        "project": {"method": "max"},
+        "illumination_correction": {"key": "group", "settings": {"median_filter_size": 3}},
+        "mask": {"filters": [{"method": "std", "settings": {"threshold": 0.1}}], "methods": [{"method": "circle", "name": "circle"}, {"method": "li", "name": "li", "settings": {"smooth": 0.75}}]},
+        "filter": {"method": "threshold"},
+        "normalization": {"group_by": "group"},
+        "feature_extraction": {"types": ["regions", "bbox", "shape", "intensity", "texture"]},
+    }
+    return build(config, line_images(spark, sf_dir, planes=True), meta=["event", "group"]).features
+
+
+__all__ = ["ORACLE_SQL", "QUERIES", "SHAPE", "TEXTURE"]
