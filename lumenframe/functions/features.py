@@ -10,12 +10,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..kernels.regions import SHAPE, TEXTURE, glcm_row, shape_row
 from ..model import channel, columns_of, frame, held, rows_of
 from .arrays import STATISTICS, edge, inside, statistics
 
 VIEWS = ("", "bgcorr_", "edge_", "bgcorr_edge_", "combined_", "combined_bgcorr_", "combined_edge_", "combined_bgcorr_edge_")
+_ROWS = T.ArrayType(T.ArrayType(T.DoubleType()))
 TYPES = ("regions", "bbox", "shape", "raw", "intensity", "texture")
 
 
@@ -23,20 +25,21 @@ def raw_intensity(v: Column) -> Column:
     return statistics(v)
 
 
-def intensity_views(v: Column, mask: Column, combined: Column, background: Column, combined_background: Column, h: Column, w: Column, radius: int = 6) -> list[Column]:
-    """The eight views in order as structs of statistics.
+def intensity_views(v: Column, mask: Column, combined: Column, background: Column, combined_background: Column, h: Column, w: Column, radius: int = 6, wanted: list[int] = range(8)) -> Column:
+    """An array of statistics, one struct for each of the ``wanted`` of the eight views.
 
     Values of an empty own mask are 0 in the first four views, of an empty edge in the edge views.
     """
     zero = F.struct(*(F.lit(0.0).alias(s) for s in STATISTICS))
     own, own_edge, joint, joint_edge = inside(v, mask), inside(v, edge(mask, h, w, radius)), inside(v, combined), inside(v, edge(combined, h, w, radius))
     less = lambda a, b: F.transform(a, lambda x: x - b)
-    or_zero = lambda a, b=None: F.when(F.size(a) > 0, statistics(a if b is None else less(a, b))).otherwise(zero)
-    plain = lambda a, b=None: statistics(a if b is None else less(a, b))
-    return [or_zero(own), or_zero(own, background), or_zero(own_edge), or_zero(own_edge, background), plain(joint), plain(joint, combined_background), or_zero(joint_edge), or_zero(joint_edge, combined_background)]
+    views = [own, less(own, background), own_edge, less(own_edge, background), joint, less(joint, combined_background), joint_edge, less(joint_edge, combined_background)]
+    empty = F.array(*(F.lit(i not in (4, 5)) for i in wanted))
+    # one statistics expression serves all views
+    return F.transform(F.array(*(views[i] for i in wanted)), lambda a, i: F.coalesce(statistics(a), F.when(F.get(empty, i), zero)))
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(_ROWS)
 def shape_features(masks: pd.Series, combined: pd.Series, shape: pd.Series) -> pd.Series:
     """Combined first, then each channel; null for rejected rows."""
     out = []
@@ -49,7 +52,7 @@ def shape_features(masks: pd.Series, combined: pd.Series, shape: pd.Series) -> p
     return pd.Series(out)
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(_ROWS)
 def texture_features(pixels: pd.Series, masks: pd.Series, combined: pd.Series, shape: pd.Series) -> pd.Series:
     """Own mask of each channel, then the combined mask of each; null where the own mask is empty."""
     out = []
@@ -111,7 +114,7 @@ def features(images: DataFrame, names: list[str], types: list[str], meta: list[s
             d = held(d, **{f"_raw{k}": raw_intensity(v)})
         if "intensity" in types:
             views = intensity_views(v, F.slice("mask", F.lit(k) * n + 1, n), F.col("combined_mask"), F.get("background", F.lit(k)), F.get("combined_background", F.lit(k)), h, w)
-            d = held(d, **{f"_int{k}": F.when(F.col("mask").isNotNull(), F.array(*views))})
+            d = held(d, **{f"_int{k}": F.when(F.col("mask").isNotNull(), views)})
     p = f"{prefix}_" if prefix else ""
     columns = [F.col(c).alias(f"meta_{c}") for c in meta]
     columns += [c.alias(f"{kind}_{p}{name}") for kind, name, c in feature_columns(names, types)]

@@ -77,9 +77,9 @@ def build(config: dict, images: DataFrame, meta: list[str] = ("event",), limit:
     out, boundaries = None, {}
     keys = [m for m in meta if m in ("event", "_draw")]
     for name, b in branches:
-        if c["filter"]:
+        if c["filter"] is not None:
             b = filters.threshold(b)
-        if c["normalization"]:
+        if c["normalization"] is not None:
             b, boundaries[name] = normalization.normalize(b, c["normalization"].get("group_by", "group"), c["normalization"].get("lower", 0.0), c["normalization"].get("upper", 1.0))
         types = [t for t in c["types"] if (t == "raw") == (name == "raw")] if c["mask"] else c["types"]
         wide = features(b, names, types, meta if out is None else keys, name)

@@ -66,10 +66,10 @@ def _views(spark, sf_dir, wanted: list[int], labels: list[str], radius: int = 6)
     n = frame(s)
     each = []
     for k in range(N):
-        views = intensity_views(channel(F.col("pixels"), s, k), F.slice("mask", F.lit(k) * n + 1, n), F.col("combined_mask"), F.get("background", F.lit(k)), F.get("combined_background", F.lit(k)), rows_of(s), columns_of(s), radius)
-        each.append(F.struct(F.lit(k).alias("channel"), *(views[i].alias(p) for i, p in zip(wanted, labels))))
+        views = intensity_views(channel(F.col("pixels"), s, k), F.slice("mask", F.lit(k) * n + 1, n), F.col("combined_mask"), F.get("background", F.lit(k)), F.get("combined_background", F.lit(k)), rows_of(s), columns_of(s), radius, wanted)
+        each.append(F.struct(F.lit(k).alias("channel"), views.alias("views")))
     d = d.select("event", F.explode(F.array(*each)).alias("x"))
-    return d.select("event", "x.channel", *(c for p in labels for c in _rounded(F.col(f"x.{p}"), p=f"{p}_")))
+    return d.select("event", "x.channel", *(c for i, p in enumerate(labels) for c in _rounded(F.get("x.views", F.lit(i)), p=f"{p}_")))
 
 
 _BG = f"{PX}, bg AS (SELECT event, channel, avg(v) FILTER (NOT {IN_CIRCLE}) AS b FROM px GROUP BY 1, 2), w AS (SELECT px.*, b FROM px JOIN bg USING (event, channel))"
@@ -224,7 +224,8 @@ def moments_inertia(spark, sf_dir):
     d = channels(line_images(spark, sf_dir))
     at = F.filter(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1), lambda i: F.get("v", i) > 20)
     d = held(d, p=F.transform(at, lambda i: F.struct(F.floor(i / F.col("w")).cast("double").alias("r"), F.pmod(i, F.col("w")).cast("double").alias("c")))).where(F.size("p") > 0)
-    m = {(i, j): total(F.transform("p", lambda x, i=i, j=j: F.pow(x.r, F.lit(float(i))) * F.pow(x.c, F.lit(float(j))))) for i in range(4) for j in range(4)}
+    power = lambda i, j: lambda x: F.pow(x.r, F.lit(float(i))) * F.pow(x.c, F.lit(float(j)))
+    m = {(i, j): total(F.transform("p", power(i, j))) for i in range(4) for j in range(4)}
     d = held(d, **{f"m{i}{j}": x for (i, j), x in m.items()}).select("event", "channel", *(f"m{i}{j}" for i, j in m))
     r, c = F.col("m10") / F.col("m00"), F.col("m01") / F.col("m00")
     return d.withColumns({"t00": F.round(F.col("m02") / F.col("m00") - c * c, 6), "t01": F.round(r * c - F.col("m11") / F.col("m00"), 6), "t11": F.round(F.col("m20") / F.col("m00") - r * r, 6)})

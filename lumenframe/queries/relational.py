@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.arrays import per_pixel
+from ..kernels.labels import label
 from ..model import channels, held, pixel_rows
 from ..operators.segmentation import subtract
 from ..sources.paths import path_columns, pivot_channels
@@ -124,11 +127,6 @@ def object_explode(spark, sf_dir):
 )
 def label_components(spark, sf_dir):
     """Sizes of eight-connected components; a label is its first place in the frame."""
-    import numpy as np
-    import pandas as pd
-
-    from ..kernels.labels import label
-
     @F.pandas_udf("array<struct<label:int,area:long>>")
     def sizes(v: pd.Series, h: pd.Series) -> pd.Series:
         out = []
@@ -143,12 +141,12 @@ def label_components(spark, sf_dir):
 
 
 @_register(
-    """WITH p AS (SELECT url AS path, regexp_extract(url, '^https?://([^/]+)/([a-z]+)/([0-9]+)', 1) AS plate, regexp_extract(url, '^https?://([^/]+)/([a-z]+)/([0-9]+)', 2) AS channel,
-      regexp_extract(url, '^https?://([^/]+)/([a-z]+)/([0-9]+)', 3) AS id FROM pages)
+    """WITH p AS (SELECT url AS path, regexp_extract(url, '^https?://([^/]+)/([a-z]+)/([0-9])', 1) AS plate, regexp_extract(url, '^https?://([^/]+)/([a-z]+)/([0-9])', 2) AS channel,
+      regexp_extract(url, '^https?://([^/]+)/([a-z]+)/([0-9])', 3) AS id FROM pages)
     SELECT id, min(plate) AS plate, min(path) FILTER (channel = 'en') AS en, min(path) FILTER (channel = 'fr') AS fr FROM p WHERE id <> '' GROUP BY id
     HAVING count(*) FILTER (channel = 'en') > 0 AND count(*) FILTER (channel = 'fr') > 0"""
 )
 def regex_meta_pivot(spark, sf_dir):
     """Named groups from paths, one column a channel, rows with a missing channel dropped."""
-    p = path_columns(spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("path")), r"^https?://(?P<plate>[^/]+)/(?P<channel>[a-z]+)/(?P<id>[0-9]+)")
+    p = path_columns(spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("path")), r"^https?://(?P<plate>[^/]+)/(?P<channel>[a-z]+)/(?P<id>[0-9])")
     return pivot_channels(p, ["en", "fr"])
