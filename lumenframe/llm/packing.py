@@ -111,11 +111,13 @@ class Tokens:
     """Token ids of texts, with a bounded memory of the ids of chunks.
 
     The pre-tokenizer never joins what stands before a space and after it, unless spaces touch other
-    white space; so a text cut before its single spaces has the ids of its chunks in a row.
+    white space; so a text cut before its single spaces has the ids of its chunks in a row. The other
+    way round, new chunks of a space, other text and no white space last are encoded many in a row, and
+    their ids cut where the bytes of the tokens have reached the end of a chunk.
     """
 
-    #: Chunks remembered, and the longest that is.
-    CHUNKS, LONGEST = 1_000_000, 64
+    #: Chunks remembered, the longest that is, and the chunks encoded in a row.
+    CHUNKS, LONGEST, RUN = 1_000_000, 64, 400
     _touching = re.compile(r"\s\s|<\|")
 
     def __init__(self, path: str):
@@ -124,23 +126,68 @@ class Tokens:
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        vocabulary = self.tokenizer.get_vocab()
+        # a byte-level vocabulary writes each byte as one character
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.batch(texts, add_special_tokens=False)]
+
+    def _encode_run(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of some plain chunks, by one call over all."""
+        row = self._encode(["".join(chunks)])[0]
+        ends = np.cumsum(self.bytes[np.frombuffer(row, np.uint32)])
+        wanted = np.cumsum([len(c.encode()) for c in chunks])
+        last = np.searchsorted(ends, wanted)
+        if last[-1] != len(ends) - 1 or (ends[last] != wanted).any():
+            return self._encode(chunks)
+        cut = [0, *((last + 1) * 4).tolist()]
+        return [row[a:b] for a, b in zip(cut, cut[1:])]
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        plain, other = [], []
+        for c in chunks:
+            (plain if c[:1] == " " and len(c) > 1 and not (c[1].isspace() or c[-1].isspace()) else other).append(c)
+        got = dict(zip(other, self._encode(other)))
+        for a in range(0, len(plain), self.RUN):
+            run = plain[a : a + self.RUN]
+            got.update(zip(run, self._encode_run(run)))
+        return got
+
+    def ids(self, texts: list[str], block: int = 1 << 20) -> Iterator[np.ndarray]:
+        """The ids of each text, block by block of so many code points (or one longer text)."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= block):
+                size += len(texts[end])
+                end += 1
+            yield from self._block(texts[at:end])
+            at = end
+
+    def _block(self, texts: list[str]) -> Iterator[np.ndarray]:
+        cut: list[list[str] | None] = []
+        here: dict[str, bytes | None] = {}
         for text in texts:
             if self._touching.search(text):
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                cut.append(None)
                 continue
             head, *tail = text.split(" ")
             chunks = [head, *[" " + c for c in tail]]
-            parts = list(map(self.known.get, chunks))
-            if None in parts:
-                new = list(dict.fromkeys(c for c, x in zip(chunks, parts) if x is None))
-                got = {c: np.array(e.ids, np.uint32).tobytes() for c, e in zip(new, self.batch(new, add_special_tokens=False))}
-                parts = [got[c] if x is None else x for c, x in zip(chunks, parts)]
-                if len(self.known) > self.CHUNKS:
-                    self.known.clear()
-                self.known.update((c, x) for c, x in got.items() if len(c) <= self.LONGEST)
-            yield np.frombuffer(b"".join(parts), np.uint32)
+            cut.append(chunks)
+            here.update(dict.fromkeys(chunks))
+        here = dict(zip(here, map(self.known.get, here)))
+        got = self._learn([c for c, x in here.items() if x is None])
+        here |= got
+        if len(self.known) + len(got) > self.CHUNKS:
+            self.known.clear()
+        self.known.update((c, x) for c, x in got.items() if len(c) <= self.LONGEST)
+        for text, chunks in zip(texts, cut):
+            if chunks is None:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            else:
+                yield np.frombuffer(b"".join(map(here.__getitem__, chunks)), np.uint32)
 
 
 _tokens: dict[str, Tokens] = {}
