@@ -261,9 +261,13 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _edges_out(out)
 
 
-def _cells(df: DataFrame, key: str, blocks) -> DataFrame:
-    """Deal the rows of each key to ``blocks`` blocks, and each block to its cells with all others."""
-    df = df.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _dealt(df: DataFrame, blocks) -> DataFrame:
+    """Deal the rows of each key to ``blocks`` blocks."""
+    return df.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def _cells(df: DataFrame) -> DataFrame:
+    """Each block's rows in its cells with all blocks of its key."""
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return df.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
 
@@ -290,8 +294,11 @@ def link(docs: DataFrame) -> DataFrame:
 
     # buckets that still hold several groups; a bucket of two has been decided by its hub
     left = members.where("m > 2").join(groups, "node", "left").select("h", "node", "m", F.coalesce("root", "node").alias("root"))
-    mixed = left.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    left = _cells(left.join(mixed, "h").join(sigs, "node"), "h", F.ceil(F.col("m") / BUCKET_ROWS))
+    left = _dealt(left, F.ceil(F.col("m") / BUCKET_ROWS))
+    mixed = left.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("blocks").alias("blocks")).where("lo <> hi")
+    # by bucket and block: a bucket that much of the corpus shares goes to many tasks
+    mixed = mixed.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    left = _cells(left.join(mixed, ["h", "block"]).join(sigs, "node"))
     more = stage(_grouped(left, "h", _bucket_forests), "more")
     if not more.isEmpty():
         groups = components(star.unionByName(more))
@@ -302,7 +309,7 @@ def link(docs: DataFrame) -> DataFrame:
     weight = inside.groupBy("sc").agg(F.greatest(F.ceil(F.sum("n") * 8 / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).alias("blocks"))
     inside = inside.join(weight, "sc").withColumnRenamed("blocks", "b")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    cells = _cells(inside.join(texts, "node"), "sc", F.col("b")).select("sc", "i", "j", "block", "node", "sig", "text")
+    cells = _cells(_dealt(inside.join(texts, "node"), F.col("b"))).select("sc", "i", "j", "block", "node", "sig", "text")
     linked = components(stage(_grouped(cells, "sc", _confirm), "links"))
 
     out = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(linked, "node", "left")
