@@ -110,7 +110,11 @@ def test_url_rules(spark):
     assert urlfilter.filter_urls(d, listed=()).count() == len(urls)
 
 
-def test_minhash_equals_brute_force(spark):
+@pytest.mark.parametrize("block", [1024, 5])
+def test_minhash_equals_brute_force(spark, monkeypatch, block):
+    # small blocks send each bucket and group through many cells
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", block)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
     rng = np.random.default_rng(3)
     base = [list(rng.choice([f"v{i}" for i in range(500)], 120)) for _ in range(6)]
     texts = []
