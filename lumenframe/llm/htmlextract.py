@@ -1,33 +1,35 @@
 """HTML extraction by wrapper induction.
 
-One page a host is its reference. The block tree of every other page of the host is aligned with the
-reference's by simple tree matching, and (host, reference node) pairs are counted: aligned pages, and
-those with the same text there. A node with the same text on most pages is template; the others are
-slots. Slots inside the article (or, without one, slots of prose) are content; parts that their
-element, class or id names as navigation, adverts, comments and the like never are.
-
-Edge cases: a null, empty or text-less page gives the empty text; broken markup (unclosed elements, a
-page that breaks off inside a tag) is read as far as it goes; a host with one page has no template;
-a null url is a host of its own, the empty one; repeated pages align wholly with themselves and are
-not counted as evidence when equal to the reference; other columns are left out.
+The text blocks of all pages of a host that could be content are named by their path of labels and
+their text, and counted over the host's distinct articles: copies of an article, whatever their urls,
+navigation or adverts, are one. What has the same path and text on most articles is template; the
+others are slots. Slots inside the article (or, without one, slots of prose) are content; parts that
+their element, class or id names as navigation, adverts, comments and the like never are.
+
+Edge cases: a null, empty or text-less page gives the empty text and is no evidence; broken markup
+(unclosed elements, a page that breaks off inside a tag) is read as far as it goes; a host with fewer
+than three articles has no template; a null url is a host of its own, the empty one; other columns are
+left out. Articles of which a template would leave under a tenth are taken for versions of one.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, sized, stage, table
 
-#: A reference node is template if this share of at least so many pages has its text.
+#: A block is template if this share of the articles, and at least so many, have it.
 SHARE, PAGES = 0.8, 3
+#: Articles with less than this share of their characters outside the template count as one.
+LEFT = 0.1
 SKIPPED = frozenset("script style noscript template svg head title iframe object canvas math select option textarea button".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 BLOCKS = frozenset("html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article main header footer nav aside form fieldset blockquote pre figure figcaption address details summary hr dialog menu center".split())
@@ -273,22 +275,22 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return out
 
 
-def content(root: Node, template: set[int]) -> str:
-    """Texts of the content blocks in page order, a line each; ``template`` has numbers of nodes."""
+def slots(root: Node) -> list[tuple[Node, str]]:
+    """(node, text) of the runs of text that are content unless template, in page order."""
     chosen = _articles(root)
-    lines: list[str] = []
-    # (node or text run, whether inside the article)
+    lines: list[tuple[Node, str]] = []
+    # (node, or a text run with its node; whether inside the article)
     todo: list[tuple[object, bool]] = [(root, not chosen)]
     while todo:
         x, inside = todo.pop()
-        if isinstance(x, str):
+        if isinstance(x, tuple):
             lines.append(x)
             continue
         if x.out:
             continue
         inside = inside or x.number in chosen
         words = "".join(p for p in x.parts if isinstance(p, str))
-        own = inside and x.number not in template and (chosen or not _linky(x, words))
+        own = inside and (chosen or not _linky(x, words))
         todo_here: list[tuple[object, bool]] = []
         run: list[str] = []
         for p in [*x.parts, None]:
@@ -296,12 +298,42 @@ def content(root: Node, template: set[int]) -> str:
                 run.append(p)
                 continue
             if run and own and (t := " ".join(html.unescape("".join(run)).split())):
-                todo_here.append((t, True))
+                todo_here.append(((x, t), True))
             run = []
             if p is not None:
                 todo_here.append((p, inside))
         todo += reversed(todo_here)
-    return "\n".join(lines)
+    return lines
+
+
+def content(found: list[tuple[Node, str]], template: set[int]) -> str:
+    """Texts of the content blocks in page order, a line each; ``template`` has numbers of nodes."""
+    return "\n".join(t for n, t in found if n.number not in template)
+
+
+def _hash(*parts: str | int) -> int:
+    """64 bits, signed, the same in every process."""
+    h = xxhash.xxh3_64("\0".join(map(str, parts)).encode("utf-8", "surrogatepass")).intdigest()
+    return h - (1 << 64) if h >> 63 else h
+
+
+def paths(root: Node) -> dict[int, int]:
+    """Hash of the path of labels, without the numbers in them, from the root to each node."""
+    out, todo = {}, [(root, 0)]
+    while todo:
+        n, above = todo.pop()
+        out[n.number] = here = _hash(above, re.sub(r"\d+", "0", n.label))
+        todo += [(c, here) for c in n.children]
+    return out
+
+
+def keys(root: Node, found: list[tuple[Node, str]]) -> dict[int, int]:
+    """Hash of path and text of each node with text."""
+    texts: dict[int, list[str]] = {}
+    for n, t in found:
+        texts.setdefault(n.number, []).append(t)
+    path = paths(root) if texts else {}
+    return {k: _hash(path[k], *t) for k, t in texts.items()}
 
 
 def _linky(node: Node, words: str) -> bool:
@@ -327,72 +359,69 @@ def host(url) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(rest, F.lit("")), r"^([^/?#]*)", 1))
 
 
-def references(pages: DataFrame) -> DataFrame:
-    """(host, reference): the page of each host with the least hash."""
-    return stage(pages.groupBy("host").agg(F.min_by("html", F.struct(F.xxhash64("page_id"), "html")).alias("reference")), "references")
-
-
-def _beside(pages: DataFrame, small: DataFrame, *wide: str) -> DataFrame:
-    """Each page with its host's row: a broadcast if that is small, else a shuffled join that splits hot hosts."""
+def _beside(rows: DataFrame, small: DataFrame, on: list[str], how: str, *wide: str) -> DataFrame:
+    """A join with a broadcast if ``small`` is small, else a shuffled one that splits hot hosts."""
     held = sized(small, *wide)
-    return pages.join(held if held is not None else small, "host", "left")
+    return rows.join(held if held is not None else small, on, how)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, node, pages, same) summed over each batch."""
-    trees: dict[str, tuple[Node, list]] = {}
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, article, block, size): hash and characters of each block of each page, once a batch."""
     for batch in batches:
-        pages, same = Counter(), Counter()
-        for name, page, reference in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), batch.column("reference").to_pylist()):
-            if not page or not reference or page == reference:
+        rows = set()
+        for name, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            root = parse(page)
+            if not (found := slots(root)):
                 continue
-            ref = _reference(trees, reference)
-            for p, r in align(parse(page), ref[0]):
-                if ref[1][r.number]:
-                    pages[name, r.number] += 1
-                    same[name, r.number] += p.texts() == ref[1][r.number]
-        keys = list(pages)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([pages[k] for k in keys], pa.int64()), pa.array([same[k] for k in keys], pa.int64())], names=["host", "node", "pages", "same"])
+            article, key, size = _hash(content(found, set())), keys(root, found), {}
+            for n, t in found:
+                size[key[n.number]] = size.get(key[n.number], 0) + len(t)
+            rows |= {(name, article, k, v) for k, v in size.items()}
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["host", "article", "block", "size"])
 
 
-def _reference(trees: dict, text: str) -> tuple[Node, list]:
-    if text not in trees:
-        if len(trees) > 200:
-            trees.clear()
-        root = parse(text)
-        trees[text] = root, [n.texts() for n in _walk(root)]
-    return trees[text]
+def _constant(blocks: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, block): blocks of enough of the articles; ``blocks`` has each (*by, article, block) once."""
+    articles = stage(blocks.select(*by, "article").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("articles")).where(F.col("articles") >= PAGES), "articles")
+    same = blocks.groupBy(*by, "block").agg(F.count(F.lit(1)).alias("same")).where(F.col("same") >= PAGES)
+    return stage(_beside(same, articles, by, "inner", "host").where(F.col("same") >= SHARE * F.col("articles")).select(*by, "block"), "constant")
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, reference, template): the reference page of each host and its constant nodes."""
+    """(host, template): hashes of the template blocks of each host that has any."""
     arrow_limits(pages.sparkSession)
-    refs = references(pages)
-    counted = _beside(pages.select("host", "html"), refs, "host", "reference").mapInArrow(_count, "host string, node int, pages long, same long")
-    constant = counted.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same")).where((F.col("pages") >= PAGES) & (F.col("same") >= SHARE * F.col("pages")))
-    # as many entries a host as its reference page has nodes
-    template = constant.groupBy("host").agg(F.collect_list("node").alias("template"))
-    return stage(refs.join(template, "host", "left"), "wrappers")
+    by = ["host"]
+    blocks = stage(pages.select("host", "html").mapInArrow(_blocks, "host string, article long, block long, size long").groupBy("host", "article", "block").agg(F.max("size").alias("size")), "blocks")
+    constant = _constant(blocks, by)
+    if not constant.isEmpty():
+        # versions of one article agree but for a few words, so they would make it template: count them once
+        marked = _beside(blocks, constant.withColumn("_constant", F.lit(True)), [*by, "block"], "left", "host")
+        left = F.sum(F.when(F.col("_constant"), 0).otherwise(F.col("size")))
+        versions = stage(marked.groupBy(*by, "article").agg(left.alias("left"), F.sum("size").alias("size")).where(F.col("left") < LEFT * F.col("size")).select(*by, "article", F.lit(True).alias("_version")), "versions")
+        if not versions.isEmpty():
+            once = F.when(F.col("_version"), F.lit(0)).otherwise(F.col("article"))
+            blocks = _beside(blocks, versions, [*by, "article"], "left", "host").select(*by, once.alias("article"), "block").distinct()
+            constant = _constant(blocks, by)
+    # as many entries a host as blocks that most of its articles share
+    return stage(constant.groupBy("host").agg(F.collect_set("block").alias("template")), "wrappers")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    trees: dict[str, tuple[Node, list]] = {}
     for batch in batches:
         texts = []
-        for page, reference, template in zip(batch.column("html").to_pylist(), batch.column("reference").to_pylist(), batch.column("template").to_pylist()):
-            root, constant = parse(page), set()
-            if template and reference:
-                ref, wanted = _reference(trees, reference), set(template)
-                constant = {p.number for p, r in align(root, ref[0]) if r.number in wanted and p.texts() == ref[1][r.number]}
-            texts.append(content(root, constant))
+        for page, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
+            root = parse(page)
+            found = slots(root)
+            wanted = set(template or ())
+            texts.append(content(found, {k for k, v in keys(root, found).items() if v in wanted} if wanted else set()))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of pages (page_id, url, html)."""
     p = pages.select(F.col("page_id").cast("long"), "url", "html", host(F.col("url")).alias("host"))
-    found = _beside(p, wrappers(p), "host", "reference")
-    return found.select("page_id", "url", "html", "reference", "template").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    found = _beside(p, wrappers(p), ["host"], "left", "host")
+    return found.select("page_id", "url", "html", "template").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:

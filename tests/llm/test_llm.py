@@ -237,6 +237,23 @@ def test_html(spark):
     assert got[12] == "Head 12\nWords & more 12 of it here.\nShare this page\nLast 12"
 
 
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in htmlextract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_html_copies_are_no_evidence(spark):
+    story = "".join(f"<p>Paragraph {k} of the long story that the site prints again.</p>" for k in range(6))
+    copy = lambda i, more="": f"<body><nav>{i}</nav><div class=ad>Buy {i}</div><article><h1>Story</h1>{story}{more}</article></body>"
+    lines = ["Story", *(f"Paragraph {k} of the long story that the site prints again." for k in range(6))]
+    rows = [(i, f"http://a.com/{i}", copy(i)) for i in range(4)]
+    # other articles, shorter, on a host of mostly copies, and versions that differ in a counter
+    rows += [(100 + i, f"http://b.com/{i}", copy(i)) for i in range(40)] + [(200 + i, f"http://b.com/o{i}", f"<body><article><h1>Other {i}</h1><p>Short {i}</p><p>Share it</p></article></body>") for i in range(5)]
+    rows += [(300 + i, f"http://c.com/{i}", copy(i, f"<p>Read {i}</p>")) for i in range(5)]
+    got = extracted(spark, rows)
+    assert all(got[i] == "\n".join(lines) for i in [*range(4), *range(100, 140)])
+    assert got[201] == "Other 1\nShort 1" and got[303] == "\n".join([*lines, "Read 3"])
+
+
 def test_tree_matching_is_largest():
     a, b = htmlextract.parse("<div><p>1</p><ul><li>2</ul><p>3</p></div>"), htmlextract.parse("<div><ul><li>x<li>y</ul><p>3</p><p>4</p></div>")
     assert len(htmlextract.align(a, b)) == 5
