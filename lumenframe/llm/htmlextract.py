@@ -1,9 +1,10 @@
 """HTML extraction by wrapper induction.
 
 The text blocks of all pages of a host that could be content are named by their path of labels and
-their text, and counted over the host's distinct articles: copies of an article, whatever their urls,
-navigation or adverts, are one. What has the same path and text on most articles is template; the
-others are slots. Slots inside the article (or, without one, slots of prose) are content; parts that
+their text, and counted over the distinct articles of the host, and of each of its layouts (skeletons of
+containers): copies of an article, whatever their urls, navigation or adverts, are one. What has the
+same path and text on most articles of the host or of one of its layouts is template, in all the host's
+pages; the others are slots. Slots inside the article (or, without one, slots of prose) are content; parts that
 their element, class or id names as navigation, adverts, comments and the like never are.
 
 Edge cases: a null, empty or text-less page gives the empty text and is no evidence; broken markup
@@ -33,6 +34,8 @@ LEFT = 0.1
 SKIPPED = frozenset("script style noscript template svg head title iframe object canvas math select option textarea button".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 BLOCKS = frozenset("html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article main header footer nav aside form fieldset blockquote pre figure figcaption address details summary hr dialog menu center".split())
+#: Blocks of text, which differ between the articles of one layout.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption address details summary hr caption".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
 OUT = frozenset("nav header footer aside form menu dialog".split())
 #: Words of a class, id or role that name a part as no content.
@@ -327,6 +330,23 @@ def paths(root: Node) -> dict[int, int]:
     return out
 
 
+def layout(root: Node) -> int:
+    """Hash of the set of paths of containers: blocks other than prose, down to the article.
+
+    Parts that are out don't count: adverts and the like come and go between pages of one layout.
+    """
+    chosen, path, found = _articles(root), paths(root), set()
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        if n.out or n.tag in PROSE:
+            continue
+        found.add(path[n.number])
+        if n.number not in chosen:
+            todo += n.children
+    return _hash(*sorted(found))
+
+
 def keys(root: Node, found: list[tuple[Node, str]]) -> dict[int, int]:
     """Hash of path and text of each node with text."""
     texts: dict[int, list[str]] = {}
@@ -366,18 +386,18 @@ def _beside(rows: DataFrame, small: DataFrame, on: list[str], how: str, *wide: s
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, article, block, size): hash and characters of each block of each page, once a batch."""
+    """(host, layout, article, block, size): hash and characters of each block of each page, once a batch."""
     for batch in batches:
         rows = set()
         for name, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             root = parse(page)
             if not (found := slots(root)):
                 continue
-            article, key, size = _hash(content(found, set())), keys(root, found), {}
+            frame, article, key, size = layout(root), _hash(content(found, set())), keys(root, found), {}
             for n, t in found:
                 size[key[n.number]] = size.get(key[n.number], 0) + len(t)
-            rows |= {(name, article, k, v) for k, v in size.items()}
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["host", "article", "block", "size"])
+            rows |= {(name, frame, article, k, v) for k, v in size.items()}
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), *[pa.int64()] * 4))], names=["host", "layout", "article", "block", "size"])
 
 
 def _constant(blocks: DataFrame, by: list[str]) -> DataFrame:
@@ -390,8 +410,11 @@ def _constant(blocks: DataFrame, by: list[str]) -> DataFrame:
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, template): hashes of the template blocks of each host that has any."""
     arrow_limits(pages.sparkSession)
-    by = ["host"]
-    blocks = stage(pages.select("host", "html").mapInArrow(_blocks, "host string, article long, block long, size long").groupBy("host", "article", "block").agg(F.max("size").alias("size")), "blocks")
+    by = ["host", "layout"]
+    found = pages.select("host", "html").mapInArrow(_blocks, "host string, layout long, article long, block long, size long")
+    # layout 0 is the whole host
+    found = found.withColumn("layout", F.explode(F.array(F.lit(0).cast("long"), "layout")))
+    blocks = stage(found.groupBy(*by, "article", "block").agg(F.max("size").alias("size")), "blocks")
     constant = _constant(blocks, by)
     if not constant.isEmpty():
         # versions of one article agree but for a few words, so they would make it template: count them once

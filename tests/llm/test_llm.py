@@ -254,6 +254,20 @@ def test_html_copies_are_no_evidence(spark):
     assert got[201] == "Other 1\nShort 1" and got[303] == "\n".join([*lines, "Read 3"])
 
 
+def test_html_layouts_and_bad_pages(spark):
+    layouts = [
+        lambda i: f"<body><div class=one><p>Text {i} of one</p><p>Notice of layout one</p></div></body>",
+        lambda i: f"<body><section><div><p>Text {i} of two</p></div><p>Notice of layout two</p></section></body>",
+        lambda i: f"<body><table><tr><td>Text {i} of three</td><td>Notice of layout three</td></tr></table></body>",
+    ]
+    rows = [(i, f"http://a.com/{i}", layouts[i % 3](i)) for i in range(18)]
+    # whichever page has the least hash: more of them are null, empty or broken than good
+    rows += [(100 + i, "http://a.com/x", [None, "", "<body><div class=one><p>Text of a broken page</p><p>Notice of layout one</p><p cla"][i % 3]) for i in range(30)]
+    got = extracted(spark, rows)
+    assert [got[i] for i in range(18)] == [f"Text {i} of {['one', 'two', 'three'][i % 3]}" for i in range(18)]
+    assert got[100] == got[101] == "" and got[102] == "Text of a broken page"
+
+
 def test_tree_matching_is_largest():
     a, b = htmlextract.parse("<div><p>1</p><ul><li>2</ul><p>3</p></div>"), htmlextract.parse("<div><ul><li>x<li>y</ul><p>3</p><p>4</p></div>")
     assert len(htmlextract.align(a, b)) == 5
