@@ -15,6 +15,7 @@ rows get equal texts; rows keep their other columns; an empty table gives no row
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -43,12 +44,23 @@ PATTERN = re.compile(
     |(?P<secret>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b\s*[=:]\s*["']?)(?P<value>[A-Za-z0-9_+/-]{8,}))
     |(?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
     |(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d))
+    |(?P<ipv6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,34}::)(?:[0-9A-Fa-f]{0,4}:){2,7}(?:\d{1,3}(?:\.\d{1,3}){3}|[0-9A-Fa-f]{0,4}))(?![\w:]))
     |(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
     |(?P<card>(?<![\d-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4})(?![\d-]))
-    |(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=\d[ .-])\d{2,4}(?:[ .-]\d{2,4}){2,4})(?![\w-]))""",
+    |(?P<phone>(?<![\w+])(?:
+        (?:\+|\b00[ ]?(?=[1-9]))(?:[17](?:[ ./()-]{0,3}\d){10}|[2-689]\d(?:[ ./()-]{0,3}\d){5,13})(?!\w)
+        |0\d{1,4}[ ]?/[ ]?\d{3,8}(?:[ -]\d{2,4}){0,3}(?![\w-])
+        |(?!\d\d(?P<d>[ .-])\d\d(?P=d)(?:19|20)\d\d(?!\d))0\d{1,4}(?P<by>[ .-])\d{2,8}(?:(?P=by)\d{2,4}){0,4}(?![\w-])
+        |(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,5}\)[ .-]?\d{2,8}(?:[ .-]\d{2,4}){0,3}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=\d[ .-])\d{2,4}(?:[ .-]\d{2,4}){2,4})(?![\w-])
+        |1?[2-9]\d\d[2-9]\d{6}(?![\w-])))""",
     re.X,
 )
 TITLED = re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?[ ]+(?P<name>[^\W\d_a-zа-яё]\w+(?:[ ]+[^\W\d_a-zа-яё]\w+)?)")
+_GIVEN = re.compile(rf"(?:{'|'.join(sorted(_LISTED, key=len, reverse=True))})\b")
+_SURNAME = re.compile(r"[ ]+[^\W\d_a-zа-яё]\w+")
+#: Calling codes of one and of two digits; the others have three.
+_CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3}")
+_KINDS = ("email", "awskey", "secret", "iban", "ip", "ipv6", "ssn", "card", "phone")
 _TRIGGER = re.compile(r"[0-9@=:]")
 _CLASSES = [*map(tuple, ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ"))]
 _CLASS_OF = {c: (k, i) for k, letters in enumerate(_CLASSES) for i, c in enumerate(letters)}
@@ -120,12 +132,27 @@ def _digits(p: Permutation, digits: str, kind: str) -> str:
     return permuted(p, digits, kind, [tuple("23456789") if k == 0 and d in "23456789" else ten for k, d in enumerate(digits)])
 
 
+def _phone(text: str) -> tuple[str, list[int]]:
+    """What tells a telephone number's kind (+ and code, trunk 0 or nothing), and the places of its other digits."""
+    at = [k for k, c in enumerate(text) if c.isdigit() and not (text[0] == "+" and text[k - 1 : k + 2] == "(0)")]
+    digits = "".join(text[k] for k in at)
+    lead = 0 if text[0] == "+" else 2
+    if text[0] == "+" or digits.startswith("00"):
+        code = _CODES.match(digits, lead)[0]
+        return "" if code == "1" else f"+{code}", at[lead + len(code) :]
+    if digits[0] == "0":
+        return "0", at[1:]
+    return "", at[len(digits) == 11 and digits[0] == "1" :]
+
+
 def normal_form(kind: str, text: str) -> str:
     if kind == "email":
         return text.lower()
     if kind == "phone":
-        d = re.sub(r"\D", "", text)
-        return d[1:] if len(d) == 11 and d[0] == "1" else d
+        lead, at = _phone(text)
+        return lead + "".join(text[k] for k in at)
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(text).compressed
     if kind in ("card", "ssn"):
         return re.sub(r"\D", "", text)
     if kind == "iban":
@@ -142,12 +169,11 @@ def surrogate(p: Permutation, kind: str, text: str) -> str:
         new = "".join(c.upper() if k < len(local) and local[k].isupper() else c for k, c in enumerate(new))
         return ".".join([new, *(domain.split(".")[len(own) :])])
     if kind == "phone":
-        own = normal_form(kind, text)
-        digits = re.sub(r"\D", "", text)
-        code = m[1] if (m := re.match(r"\+(\d{1,3})(?=[ .(-])", text)) else ""
-        if len(own) == len(digits) and code:
-            own = digits[len(code) :]
-        return _refill(text, digits[: len(digits) - len(own)] + _digits(p, own, "phone"), str.isdigit)
+        _, at = _phone(text)
+        out = list(text)
+        for k, c in zip(at, _digits(p, "".join(text[k] for k in at), "phone")):
+            out[k] = c
+        return "".join(out)
     if kind == "card":
         d = normal_form(kind, text)
         body = d[0] + permuted(p, d[1:-1], f"card|{d[0]}|{luhn(d)}")
@@ -166,6 +192,17 @@ def surrogate(p: Permutation, kind: str, text: str) -> str:
             number, k = divmod(number, n)
             out.append(str(low + k))
         return ".".join(reversed(out))
+    if kind == "ipv6":
+        if "." in text:
+            head, tail = text.rsplit(":", 1)
+            return f"{head}:{surrogate(p, 'ip', tail)}"
+        short = ipaddress.IPv6Address(text).compressed
+        first = len(short) - len(short.lstrip("0123456789abcdef"))  # the kind of address stays
+        # a group's first digit stays other than 0, a 0 alone stays
+        sets = [(c,) if k < first or c == ":" or c == "0" and short[k - 1] == ":" else tuple("0123456789abcdef"[short[k - 1 : k] in (":", "") :]) for k, c in enumerate(short)]
+        new = ipaddress.IPv6Address(permuted(p, short, "ipv6", sets))
+        new = new.exploded if len(text) == 39 else new.compressed
+        return new.upper() if text.upper() == text else new
     if kind == "awskey":
         letters = tuple("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
         return text[:4] + permuted(p, text[4:], "awskey", [letters] * 16)
@@ -193,24 +230,46 @@ def _iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
+def _is_ipv6(text: str) -> bool:
+    """Whether it is an address, and no slice or scope such as 1::2."""
+    groups = [g for g in text.split(":") if g]
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return any(c.isdigit() for c in text) and (len(groups) > 2 or "." in text or len(text.split(":")[0]) > 2)
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, text) of the entities of a whole text, in order, without overlaps."""
     found = []
     if _TRIGGER.search(text):
         for m in PATTERN.finditer(text):
-            kind = m.lastgroup if m.lastgroup != "value" else "secret"
+            kind = next(k for k in _KINDS if m[k] is not None)
             start, end = m.span("value") if kind == "secret" else m.span()
             x = text[start:end]
             if kind == "iban" and _iban_rest(normal_form(kind, x)) != 1:
                 continue
-            if kind == "phone" and not 7 <= sum(map(str.isdigit, x)) <= 15:
+            if kind == "phone" and not (9 if x[0] == "0" else 7) <= sum(map(str.isdigit, x)) <= 15 + 2 * x.startswith("00"):
+                continue
+            if kind == "ipv6" and not _is_ipv6(x):
                 continue
             found.append((start, end, kind, x))
-    if any(t in text for t in TITLES):
-        taken = [(a, b) for a, b, _, _ in found]
-        for m in TITLED.finditer(text):
-            if not any(a < m.end("name") and m.start("name") < b for a, b in taken):
-                found.append((*m.span("name"), f"name|{TITLES[m['title']]}", m["name"]))
+    names = [(*m.span("name"), f"name|{TITLES[m['title']]}", m["name"]) for m in TITLED.finditer(text)] if any(t in text for t in TITLES) else []
+    at, titled = 0, {k for a, b, *_ in names for k in range(a, b)}
+    for m in _GIVEN.finditer(text):
+        a, b = m.span()
+        if a < at or a and (text[a - 1].isalnum() or text[a - 1] == "_") or a in titled:
+            continue
+        at = e.end() if (e := _SURNAME.match(text, b)) else b
+        names.append((a, at, f"name|{_LISTED[m[0]][0][0]}", text[a:at]))
+    if names:
+        taken, k = [(a, b) for a, b, *_ in found], 0
+        for x in sorted(names):
+            while k < len(taken) and taken[k][1] <= x[0]:
+                k += 1
+            if k == len(taken) or taken[k][0] >= x[1]:
+                found.append(x)
         found.sort()
     return found
 

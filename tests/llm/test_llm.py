@@ -291,6 +291,28 @@ def test_surrogates():
     assert pii.pseudonymise(p, clean) == (clean, [])
 
 
+@pytest.mark.parametrize("number", ["+14155550123", "4155550123", "+49 30 1234567", "+493012345678", "020 7946 0958", "030/1234567", "06 12 34 56 78", "0049 30 1234567", "+44 (0)20 7946 0958", "(030) 1234567", "0171-1234567"])
+def test_telephone_forms(number):
+    p = pii.Permutation("k")
+    new, kinds = pii.pseudonymise(p, f"Call {number}, or not.")
+    assert kinds == ["phone"] and new != f"Call {number}, or not."
+    assert [c if not c.isdigit() else "0" for c in new] == [c if not c.isdigit() else "0" for c in f"Call {number}, or not."]
+
+
+def test_spellings_names_and_ipv6():
+    p = pii.Permutation("k")
+    new = lambda t: pii.pseudonymise(p, t)[0]
+    digits = lambda t: "".join(c for c in t if c.isdigit())
+    assert digits(new("+442079460958")) == digits(new("+44 20 7946-0958")) and digits(new("+14155550123"))[1:] == digits(new("415-555-0123"))
+    assert new("+44 (0)20 7946 0958").startswith("+44 (0)")
+    for text, kept in (("then Anna went to see Peter, and Ольга too", "Anna Peter Ольга"), ("met Anna Schmidt there", "Anna Schmidt"), ("from 2001:db8:85a3::8a2e:370:7334 on", "85a3 8a2e"), ("2001:0DB8:0000:0000:0000:0000:0000:1A2F", "1A2F"), ("see fe80::1c2d now", "1c2d")):
+        out, kinds = pii.pseudonymise(p, text)
+        assert kinds and not any(w in out for w in kept.split()), out
+    assert new("2001:db8::1a2f") in new("from 2001:db8::1a2f.") and "Paul " not in new("Paul and Paula")
+    for clean in ("on 01.02.2024 10:30", "x[1::2] and std::find at 10:30:45", "02-03-2024", "1,000,000 of 1700000000", "Annabel Johnson and DeAnna"):
+        assert pii.pseudonymise(p, clean) == (clean, [])
+
+
 def test_redaction_rows(spark):
     d = docs(spark, AWKWARD + [(20, "call 555-123-4567 now", "a"), (21, "again 555-123-4567", "a")])
     key = pii.checked_key(d)
