@@ -5,8 +5,10 @@ digits, letters letters of the same class and case, check digits are made to fit
 given names become names of the same gender and script. A permutation gives different entities different
 surrogates and one entity one surrogate wherever it stands, with no table of entities. Entities are
 taken in a normal form first (e-mail in lower case, telephone numbers as digits), so that spellings of
-one entity correspond. Shapes of one kind could still meet; ``checked_key`` looks for that over all the
-corpus's distinct entities and takes the next key if it finds any.
+one entity correspond. Each permutation stays in its own strings: words that are no listed name walk on
+past listed ones, secrets past those of hexadecimal digits, and what tells the kind of a number stays. So
+no two entities of a kind share a surrogate, under any key; ``checked_key`` makes sure of it over all the
+corpus's distinct entities, as written.
 
 Edge cases: null and empty texts stay as they are; texts of any length are searched whole; repeated
 rows get equal texts; rows keep their other columns; an empty table gives no rows.
@@ -127,9 +129,16 @@ def _refill(text: str, new: str, is_slot=str.isalnum) -> str:
 
 
 def _digits(p: Permutation, digits: str, kind: str) -> str:
-    """Digits; one that leads and is 2 to 9 stays so."""
+    """Digits; one that leads and is 2 to 9 stays so, and a 0 or 1 that leads stays."""
     ten = _CLASSES[0]
-    return permuted(p, digits, kind, [tuple("23456789") if k == 0 and d in "23456789" else ten for k, d in enumerate(digits)])
+    return permuted(p, digits, kind, [ten if k else tuple("23456789") if d in "23456789" else (d,) for k, d in enumerate(digits)])
+
+
+def _walked(p: Permutation, text: str, kind: str, others, sets: list[tuple[str, ...]] | None = None) -> str:
+    """The next of ``text``'s cycle that isn't of ``others``: a permutation of the rest, as ``text`` is of it."""
+    while others(text := permuted(p, text, kind, sets)):
+        pass
+    return text
 
 
 def _phone(text: str) -> tuple[str, list[int]]:
@@ -152,7 +161,8 @@ def normal_form(kind: str, text: str) -> str:
         lead, at = _phone(text)
         return lead + "".join(text[k] for k in at)
     if kind == "ipv6":
-        return ipaddress.IPv6Address(text).compressed
+        ip = ipaddress.IPv6Address(text)
+        return text.lower() if "." in text and not ip.ipv4_mapped else ip.compressed
     if kind in ("card", "ssn"):
         return re.sub(r"\D", "", text)
     if kind == "iban":
@@ -196,11 +206,16 @@ def surrogate(p: Permutation, kind: str, text: str) -> str:
         if "." in text:
             head, tail = text.rsplit(":", 1)
             return f"{head}:{surrogate(p, 'ip', tail)}"
+        if v4 := ipaddress.IPv6Address(text).ipv4_mapped:
+            a, b, c, d = map(int, surrogate(p, "ip", str(v4)).split("."))
+            new = f"{a << 8 | b:04x}:{c << 8 | d:04x}" if len(text) == 39 else f"{a << 8 | b:x}:{c << 8 | d:x}"
+            new = ":".join([*text.split(":")[:-2], new])
+            return new.upper() if text.upper() == text else new
         short = ipaddress.IPv6Address(text).compressed
         first = len(short) - len(short.lstrip("0123456789abcdef"))  # the kind of address stays
         # a group's first digit stays other than 0, a 0 alone stays
         sets = [(c,) if k < first or c == ":" or c == "0" and short[k - 1] == ":" else tuple("0123456789abcdef"[short[k - 1 : k] in (":", "") :]) for k, c in enumerate(short)]
-        new = ipaddress.IPv6Address(permuted(p, short, "ipv6", sets))
+        new = ipaddress.IPv6Address(_walked(p, short, "ipv6", lambda x: ipaddress.IPv6Address(x).ipv4_mapped, sets))
         new = new.exploded if len(text) == 39 else new.compressed
         return new.upper() if text.upper() == text else new
     if kind == "awskey":
@@ -209,20 +224,19 @@ def surrogate(p: Permutation, kind: str, text: str) -> str:
     if kind == "iban":
         own = normal_form(kind, text)
         body = permuted(p, own[4:], f"iban|{own[:2]}|{_iban_rest(own)}")
-        check = next(f"{c:02d}" for c in range(100) if _iban_rest(f"{own[:2]}{c:02d}{body}") == _iban_rest(own))
+        check = next(f"{c:02d}" for c in range(2, 99) if _iban_rest(f"{own[:2]}{c:02d}{body}") == _iban_rest(own))
         return _refill(text, own[:2] + check + body)
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+", text):
             return permuted(p, text, "hex", [tuple("0123456789abcdef")] * len(text))
-        return permuted(p, text, "secret")
-    gender, *_ = kind.split("|")[1:]
+        return _walked(p, text, "secret", re.compile(r"[0-9a-f]+").fullmatch)
     words = []
     for word in text.split(" "):
-        if word in _LISTED and (not gender or _LISTED[word][0][0] == gender):
+        if word in _LISTED:
             key, i = _LISTED[word]
             words.append(NAMES[key][p(i, len(NAMES[key]), f"name|{key}")])
         else:
-            words.append(permuted(p, word, "surname"))
+            words.append(_walked(p, word, "surname", _LISTED.__contains__))
     return " ".join(words)
 
 
@@ -248,7 +262,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             kind = next(k for k in _KINDS if m[k] is not None)
             start, end = m.span("value") if kind == "secret" else m.span()
             x = text[start:end]
-            if kind == "iban" and _iban_rest(normal_form(kind, x)) != 1:
+            if kind == "iban" and (_iban_rest(normal_form(kind, x)) != 1 or not 2 <= int(x[2:4]) <= 98):
                 continue
             if kind == "phone" and not (9 if x[0] == "0" else 7) <= sum(map(str.isdigit, x)) <= 15 + 2 * x.startswith("00"):
                 continue
@@ -285,38 +299,35 @@ def pseudonymise(p: Permutation, text: str) -> tuple[str, list[str]]:
 
 
 def _distinct(docs: DataFrame) -> DataFrame:
-    """(kind, entity) of all rows, in normal form, once each."""
+    """(kind, entity) of all rows, as written, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {(k.split("|")[0], k, normal_form(k, x)) for t in batch.column(0).to_pylist() if t for _, _, k, x in entities(t)}
-            rows = sorted(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["kind", "full", "entity"])
+            rows = sorted({(k, x) for t in batch.column(0).to_pylist() if t for _, _, k, x in entities(t)})
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], names=["kind", "entity"])
 
-    return docs.select("text").mapInArrow(run, "kind string, full string, entity string").distinct()
+    return docs.select("text").mapInArrow(run, "kind string, entity string").distinct()
 
 
 def collisions(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """Surrogates that several distinct entities of the corpus share: (kind, surrogate, n)."""
+    """Emitted surrogates, in normal form, that several distinct entities of the corpus share: (kind, surrogate, n)."""
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Permutation(key)
         for batch in batches:
-            new = [surrogate(p, k, x) for k, x in zip(batch.column("full").to_pylist(), batch.column("entity").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("entity"), pa.array(new, pa.string())], names=["kind", "entity", "surrogate"])
+            rows = [(k.split("|")[0], normal_form(k, x), normal_form(k, surrogate(p, k, x))) for k, x in zip(batch.column("kind").to_pylist(), batch.column("entity").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["kind", "entity", "surrogate"])
 
     made = _distinct(docs).mapInArrow(run, "kind string, entity string, surrogate string").distinct()
     return made.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def checked_key(docs: DataFrame, key: str = KEY, tries: int = 5) -> str:
-    """The first of key, key#1, ... under which no two entities share a surrogate."""
-    for k in range(tries):
-        candidate = f"{key}#{k}" if k else key
-        if collisions(docs, candidate).isEmpty():
-            return candidate
-    raise RuntimeError(f"surrogates collide under {tries} keys")
+def checked_key(docs: DataFrame, key: str = KEY) -> str:
+    """``key``, once no two entities of the corpus share a surrogate as emitted."""
+    if (met := collisions(docs, key).select("kind", "n").take(5)):
+        raise AssertionError(f"surrogates are no permutation: {met}")
+    return key
 
 
 def redact(docs: DataFrame, key: str = KEY) -> DataFrame:

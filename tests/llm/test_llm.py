@@ -313,6 +313,20 @@ def test_spellings_names_and_ipv6():
         assert pii.pseudonymise(p, clean) == (clean, [])
 
 
+def test_surrogates_never_meet(spark):
+    words = ["".join(w) for w in itertools.product("BKLPRTV", "aeiou", "klmnrx")] + ["Eva", "Max", "Karl", "Kurt"] + [a + b + c for a in "AEIOU" for b in "bcdfvnl" for c in "aeiou"]
+    secrets = ["".join(w) for w in itertools.product("ab", "ac", "eg", "bh", ["cdef"])]
+    numbers = ["+44 20 7946 0958", "+49 20 7946 0958", "020 7946 0958", "207-946-0958", "107-946-0958", "(107) 946-0958", "+442079460958", "+44 (0)20 7946 0958"]
+    texts = [f"Frau {w} and Herr {w}" for w in words] + [f"token={x}" for x in secrets] + [f"call {n}." for n in numbers]
+    d = docs(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    for key in map(str, range(3)):
+        p = pii.Permutation(key)
+        for kind, every in (("name|f", set(words)), ("secret", set(secrets)), ("phone", {n for n in numbers if n[1] != "4"})):
+            assert len({pii.surrogate(p, kind, x) for x in every}) == len(every)
+        assert len({pii.normal_form("phone", pii.surrogate(p, "phone", n)) for n in numbers}) == len({pii.normal_form("phone", n) for n in numbers})
+    assert pii.checked_key(d, "0") == "0"
+
+
 def test_redaction_rows(spark):
     d = docs(spark, AWKWARD + [(20, "call 555-123-4567 now", "a"), (21, "again 555-123-4567", "a")])
     key = pii.checked_key(d)
