@@ -1,7 +1,8 @@
 """Mixing sources to target weights: token sums by source, repetition rates, seeded copies.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last in order; a null
-doc_id draws as the empty string; repeated rows draw alike; an empty table gives no rows; a source
+doc_id draws as the empty string in ``mix``, as its SQL has it, and by its text in ``emit``; repeated
+rows draw alike; an empty table gives no rows; a source
 of size 0 has target 0 and takes nothing. Columns other than doc_id, text and source pass through
 ``emit`` untouched, whatever their names.
 """
@@ -43,8 +44,8 @@ def targets(sources: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3
     return s.withColumn("target", F.least(F.col("_cap").cast("double"), F.col("_level") * F.col("_w"))).drop("_w", "_cap", "_level")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = SEED) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``.
+def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = SEED, draw: F.Column | None = None) -> DataFrame:
+    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``; ``draw`` is in [0, 1), by doc_id if None.
 
     Sources are summed with partial aggregation; their table is broadcast only after its size is
     measured, and beyond the bound joined on (source, salt), so that a hot source spreads out.
@@ -60,13 +61,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed:
         plan = plan.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         d = d.join(plan.hint("shuffle_hash"), d["source"].eqNullSafe(plan["_source"]) & (d["_salt"] == plan["_salt_of"])).drop("_salt", "_salt_of")
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (unit_hash(seed, "doc_id") < rate - F.floor(rate)).cast("long")
+    draw = unit_hash(seed, "doc_id") if draw is None else draw
+    copies = F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")
     return d.withColumn("_copies", copies).drop("_source")
 
 
 def emit(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it."""
-    mixed = mix(docs, weights, cap, seed).where(F.col("_copies") > 0)
+    draw = F.when(F.col("doc_id").isNull(), unit_hash(seed, "doc_id", "text")).otherwise(unit_hash(seed, "doc_id"))
+    mixed = mix(docs, weights, cap, seed, draw).where(F.col("_copies") > 0)
     return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*(mixed[c] for c in docs.columns))
 
 

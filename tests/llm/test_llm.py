@@ -73,6 +73,13 @@ def test_mixing_awkward(spark):
     assert mixing.mix(docs(spark, AWKWARD).limit(0)).count() == 0
 
 
+def test_mixing_draws_rows_without_id_separately(spark):
+    d = docs(spark, [(None if i % 5 else i, f"w{i} v{i}", f"s{i % 3}") for i in range(1500)])
+    target = {r.source: r["_target"] for r in mixing.mix(d).collect()}
+    taken = {r.source: r.n for r in mixing.emit(d).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert all(abs(taken[s] - target[s]) < 0.15 * target[s] for s in target)
+
+
 def test_toxicity_learns_and_leaves_the_clean(spark):
     rng = np.random.default_rng(0)
     words = [f"wort{i}" for i in range(300)]
