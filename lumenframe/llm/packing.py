@@ -193,25 +193,29 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
 
 
 def pack(cut: DataFrame, cap: Capacity = Capacity(), rows_a_group: int = 100_000) -> DataFrame:
-    """Add sequence_id and offset to staged pieces (doc_id, piece, length, ...).
+    """Add sequence_id and offset to pieces (doc_id, piece, length, ...).
 
     Ranks within a length are ranks within (length, group) plus the rows of the groups before, so a
-    length that most pieces have is spread over as many tasks as it needs.
+    length that most pieces have is spread over as many tasks as it needs. Groups are dealt by a number
+    of the row, written with it, so that equal rows spread as well.
     """
     spark = cut.sparkSession
+    cut = stage(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     groups = max(8, -(-cut.count() // rows_a_group))
-    cut = cut.withColumn("_group", F.pmod(F.xxhash64(*cut.columns), F.lit(groups)).cast("int"))
+    cut = cut.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)).cast("int"))
     counts = stage(cut.groupBy("length", "_group").agg(F.count(F.lit(1)).alias("_n")), "pack-counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    plan = spark.createDataFrame(intervals(best_fit(histogram, cap)), "_length long, _from long, _to long, _each long, _first long, _offset long")
+    places = intervals(best_fit(histogram, cap))
+    plan = spark.createDataFrame(places, "_length long, _from long, _to long, _each long, _first long, _offset long")
+    if len(places) <= BROADCAST_ROWS:
+        plan = F.broadcast(plan)
     before = W.partitionBy("length").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
     firsts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     if len(histogram) * groups <= BROADCAST_ROWS:
         firsts = F.broadcast(firsts)
     ranked = cut.withColumn("_rank", F.row_number().over(W.partitionBy("length", "_group").orderBy("doc_id", "piece")) - 1)
     ranked = ranked.join(firsts, ["length", "_group"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    # the plan has a few rows a length, of which there are at most as many as tokens in a sequence
-    out = ranked.join(F.broadcast(plan), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+    out = ranked.join(plan, (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
     at = F.col("_rank") - F.col("_from")
     out = out.withColumns({"sequence_id": F.col("_first") + F.floor(at / F.col("_each")), "offset": F.col("_offset") + F.pmod(at, F.col("_each")) * F.col("length")})
     return out.select(*(c for c in out.columns if not c.startswith("_")))
@@ -223,7 +227,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, cap: Capacity
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return pack(stage(pieces(docs, tokenizer, cap.tokens), "pieces"), cap)
+    return pack(pieces(docs, tokenizer, cap.tokens), cap)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -212,6 +212,26 @@ def test_packing(spark):
     assert packing.pack_documents(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_packing_takes_no_more_sequences_than_first_fit(spark):
+    rng = np.random.default_rng(8)
+    lengths = [int(x) for x in np.minimum(1024, rng.lognormal(5, 1.2, 3000).astype(int) + 1)] + [1] * 2000
+    cut = spark.createDataFrame([(None if n == 1 else i, 0, 0, n, 7) for i, n in enumerate(lengths)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(cut, rows_a_group=300).collect()
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        k = next((k for k, free in enumerate(bins) if free >= n), None)
+        if k is None:
+            bins.append(1024)
+            k = len(bins) - 1
+        bins[k] -= n
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(by) <= len(bins) and len(rows) == len(lengths) and sorted(r.length for r in rows) == sorted(lengths)
+    for places in map(sorted, by.values()):
+        assert all(a + n == b for (a, n), (b, _) in zip(places, places[1:])) and places[0][0] == 0 and sum(places[-1]) <= 1024
+
+
 def test_sharding(spark):
     d = docs(spark, [(i, "x" * (i % 50 * 7), "s") for i in range(2000)] + AWKWARD)
     rows = sharding.shard(d, shards=8, slots=256).collect()
