@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The statistics of an intensity view, in output order.
+#: The statistics of an intensity view, in output order.
 STATISTICS = ("mean", "max", "min", "sum", "mad", "skewness", "kurtosis", "std", "median", "lower_quartile", "upper_quartile")
 
 
@@ -64,21 +64,9 @@ def statistics(a: Column) -> Column:
     return F.get(F.transform(base, lambda s: F.when(s.v.isNotNull(), every(s))), F.lit(0))
 
 
-def _picked(a: Column, mask: Column, wanted: bool) -> Column:
-    pairs = F.filter(F.zip_with(a, mask, lambda x, m: F.struct(x.alias("x"), m.alias("m"))), lambda p: p.m if wanted else ~p.m)
-    return F.transform(pairs, lambda p: p.x)
-
-
 def inside(a: Column, mask: Column) -> Column:
-    return _picked(a, mask, True)
-
-
-def outside(a: Column, mask: Column) -> Column:
-    return _picked(a, mask, False)
-
-
-def mean_or(a: Column, default: float | None) -> Column:
-    return let(a, lambda v: F.when(F.size(v) > 0, total(v) / F.size(v)).otherwise(F.lit(default).cast("double")))
+    pairs = F.filter(F.zip_with(a, mask, lambda x, m: F.struct(x.alias("x"), m.alias("m"))), lambda p: p.m)
+    return F.transform(pairs, lambda p: p.x)
 
 
 def per_pixel(h: Column, w: Column, f: Callable[[Column, Column, Column], Column]) -> Column:
@@ -92,64 +80,6 @@ def circle(h: Column, w: Column) -> Column:
     return per_pixel(h, w, lambda i, r, c: (c - cx) * (c - cx) + (r - cy) * (r - cy) <= radius * radius)
 
 
-def disk_offsets(radius: int) -> list[tuple[int, int]]:
-    return [(y, x) for y in range(-radius, radius + 1) for x in range(-radius, radius + 1) if x * x + y * y <= radius * radius]
-
-
-def eroded(mask: Column, h: Column, w: Column, radius: int = 6) -> Column:
-    """Binary erosion by a disk; places outside the frame count as set."""
-    offsets = F.array(*(F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in disk_offsets(radius)))
-
-    def stays(m, i, r, c):
-        hole = lambda o: (r + o.y >= 0) & (r + o.y < h) & (c + o.x >= 0) & (c + o.x < w) & ~F.get(m, (r + o.y) * w + c + o.x)
-        return F.get(m, i) & ~F.exists(offsets, hole)
-
-    return let(mask, lambda m: per_pixel(h, w, lambda i, r, c: stays(m, i, r, c)))
-
-
-def edge(mask: Column, h: Column, w: Column, radius: int = 6) -> Column:
-    return let(mask, lambda m: F.zip_with(m, eroded(m, h, w, radius), lambda x, e: x != e))
-
-
-def either(masks: list[Column]) -> Column:
-    out = masks[0]
-    for m in masks[1:]:
-        out = F.zip_with(out, m, lambda a, b: a | b)
-    return out
-
-
-def bounding_box(masks: list[Column], h: Column, w: Column) -> Column:
-    """Half-open box of all set pixels; (h, w, 0, 0) if there are none."""
-    at = F.transform(F.filter(F.transform(either(masks), lambda m, i: F.when(m, i)), lambda i: i.isNotNull()), lambda i: i)
-    return let(at, lambda x: _box(x, h, w))
-
-
-def _box(at: Column, h: Column, w: Column) -> Column:
-    rows, cols = F.transform(at, lambda i: F.floor(i / w).cast("int")), F.transform(at, lambda i: F.pmod(i, w).cast("int"))
-    have = F.size(at) > 0
-    return F.struct(
-        F.when(have, F.array_min(rows)).otherwise(h).cast("int").alias("minr"),
-        F.when(have, F.array_min(cols)).otherwise(w).cast("int").alias("minc"),
-        F.when(have, F.array_max(rows) + 1).otherwise(F.lit(0)).cast("int").alias("maxr"),
-        F.when(have, F.array_max(cols) + 1).otherwise(F.lit(0)).cast("int").alias("maxc"),
-    )
-
-
-def sobel(a: Column, h: Column, w: Column) -> Column:
-    """Gradient magnitude with mirrored borders."""
-    mirror = lambda k, n: F.when(k < 0, F.lit(0)).when(k >= n, n - 1).otherwise(k)
-
-    def at(a, r, c, dy, dx):
-        return F.get(a, (mirror(r + dy, h) * w + mirror(c + dx, w)).cast("int"))
-
-    def magnitude(a, r, c):
-        y = at(a, r, c, -1, -1) + 2 * at(a, r, c, -1, 0) + at(a, r, c, -1, 1) - at(a, r, c, 1, -1) - 2 * at(a, r, c, 1, 0) - at(a, r, c, 1, 1)
-        x = at(a, r, c, -1, -1) + 2 * at(a, r, c, 0, -1) + at(a, r, c, 1, -1) - at(a, r, c, -1, 1) - 2 * at(a, r, c, 0, 1) - at(a, r, c, 1, 1)
-        return F.sqrt((y * y + x * x) / 32)
-
-    return let(a, lambda v: per_pixel(h, w, lambda i, r, c: magnitude(v, r, c)))
-
-
 def normality(a: Column) -> Column:
     """The K-squared statistic of skewness and kurtosis; null for fewer than 8 or equal values."""
     return let(F.struct(F.size(a).cast("double").alias("n"), statistics(a).alias("s")), lambda x: _k2(x.n, x.s))

@@ -12,31 +12,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..kernels.intensity import EDGE, edge, statistics, views
 from ..kernels.regions import SHAPE, TEXTURE, glcm_row, shape_row
-from ..model import channel, columns_of, frame, held, rows_of
-from .arrays import STATISTICS, edge, inside, statistics
+from ..model import held
+from .arrays import STATISTICS
 
+#: Prefixes of the eight views, in output order.
 VIEWS = ("", "bgcorr_", "edge_", "bgcorr_edge_", "combined_", "combined_bgcorr_", "combined_edge_", "combined_bgcorr_edge_")
 _ROWS = T.ArrayType(T.ArrayType(T.DoubleType()))
 TYPES = ("regions", "bbox", "shape", "raw", "intensity", "texture")
 
 
-def raw_intensity(v: Column) -> Column:
-    return statistics(v)
+def _known(a: np.ndarray) -> list:
+    """Nested lists with null for NaN."""
+    return np.where(np.isnan(a), None, a).tolist()
 
 
-def intensity_views(v: Column, mask: Column, combined: Column, background: Column, combined_background: Column, h: Column, w: Column, radius: int = 6, wanted: list[int] = range(8)) -> Column:
-    """An array of statistics, one struct for each of the ``wanted`` of the eight views.
+@F.pandas_udf(_ROWS)
+def raw_features(pixels: pd.Series, shape: pd.Series) -> pd.Series:
+    """STATISTICS of each whole channel."""
+    return pd.Series([None if p is None else [_known(statistics(a)) for a in np.asarray(p, float).reshape(s[0], -1)] for p, s in zip(pixels, shape)])
 
-    Values of an empty own mask are 0 in the first four views, of an empty edge in the edge views.
-    """
-    zero = F.struct(*(F.lit(0.0).alias(s) for s in STATISTICS))
-    own, own_edge, joint, joint_edge = inside(v, mask), inside(v, edge(mask, h, w, radius)), inside(v, combined), inside(v, edge(combined, h, w, radius))
-    less = lambda a, b: F.transform(a, lambda x: x - b)
-    views = [own, less(own, background), own_edge, less(own_edge, background), joint, less(joint, combined_background), joint_edge, less(joint_edge, combined_background)]
-    empty = F.array(*(F.lit(i not in (4, 5)) for i in wanted))
-    # one statistics expression serves all views
-    return F.transform(F.array(*(views[i] for i in wanted)), lambda a, i: F.coalesce(statistics(a), F.when(F.get(empty, i), zero)))
+
+def intensity_features(radius: int = EDGE):
+    """A function of (pixels, mask, combined_mask, background, combined_background, shape): the eight
+    VIEWS of STATISTICS of each channel, null for rejected rows; ``radius`` is the edges'."""
+
+    @F.pandas_udf(T.ArrayType(_ROWS))
+    def run(pixels: pd.Series, masks: pd.Series, combined: pd.Series, background: pd.Series, joint_background: pd.Series, shape: pd.Series) -> pd.Series:
+        out = []
+        for p, m, c, b, jb, s in zip(pixels, masks, combined, background, joint_background, shape):
+            if p is None or m is None:
+                out.append(None)
+                continue
+            joint = np.asarray(c, bool).reshape(s[1], s[2])
+            joint_edge = edge(joint, radius)
+            channels = zip(np.asarray(p, float).reshape(tuple(s)), np.asarray(m, bool).reshape(tuple(s)), b, jb)
+            out.append([_known(views(x, own, joint, joint_edge, y, z, radius)) for x, own, y, z in channels])
+        return pd.Series(out)
+
+    return run
 
 
 @F.pandas_udf(_ROWS)
@@ -79,11 +94,11 @@ def feature_columns(names: list[str], types: list[str]) -> list[tuple[str, str,
             out += [("feat", f"{p}_{c}", F.get(F.get("_shape", F.lit(k)), F.lit(i))) for i, p in enumerate(SHAPE)]
     if "raw" in types:
         for k, c in enumerate(names):
-            out += [("feat", f"{p}_{c}", F.col(f"_raw{k}.{p}")) for p in STATISTICS]
+            out += [("feat", f"{p}_{c}", F.get(F.get("_raw", F.lit(k)), F.lit(i))) for i, p in enumerate(STATISTICS)]
     if "intensity" in types:
         for k, c in enumerate(names):
             for i, view in enumerate(VIEWS):
-                out += [("feat", f"{view}{p}_{c}", F.get(F.col(f"_int{k}"), F.lit(i))[p]) for p in STATISTICS]
+                out += [("feat", f"{view}{p}_{c}", F.get(F.get(F.get("_views", F.lit(k)), F.lit(i)), F.lit(j))) for j, p in enumerate(STATISTICS)]
     if "texture" in types:
         for j, view in enumerate(("", "combined_")):
             for k, c in enumerate(names):
@@ -101,20 +116,18 @@ def features(images: DataFrame, names: list[str], types: list[str], meta: list[s
         raise ValueError(f"unknown feature types {sorted(unknown)}; among {TYPES}")
     if "mask" not in images.columns and set(types) - {"raw"}:
         raise ValueError("without masks only raw features can be computed")
-    s = F.col("shape")
-    n, h, w = frame(s), rows_of(s), columns_of(s)
+    # one Python call for all groups, and each group once a row
+    wanted = {
+        "shape": ("_shape", lambda: shape_features("mask", "combined_mask", "shape")),
+        "raw": ("_raw", lambda: raw_features("pixels", "shape")),
+        "intensity": ("_views", lambda: intensity_features()("pixels", "mask", "combined_mask", "background", "combined_background", "shape")),
+        "texture": ("_texture", lambda: texture_features("pixels", "mask", "combined_mask", "shape")),
+    }
+    found = {name: made() for kind, (name, made) in wanted.items() if kind in types}
     d = images
-    if "shape" in types:
-        d = held(d.withColumn("_s", shape_features("mask", "combined_mask", "shape")), _shape=F.col("_s")).drop("_s")
-    if "texture" in types:
-        d = held(d.withColumn("_t", texture_features("pixels", "mask", "combined_mask", "shape")), _texture=F.col("_t")).drop("_t")
-    for k in range(len(names)):
-        v = channel(F.col("pixels"), s, k)
-        if "raw" in types:
-            d = held(d, **{f"_raw{k}": raw_intensity(v)})
-        if "intensity" in types:
-            views = intensity_views(v, F.slice("mask", F.lit(k) * n + 1, n), F.col("combined_mask"), F.get("background", F.lit(k)), F.get("combined_background", F.lit(k)), h, w)
-            d = held(d, **{f"_int{k}": F.when(F.col("mask").isNotNull(), views)})
+    if found:
+        d = images.select(*images.columns, *(f.alias(f"_u{name}") for name, f in found.items()))
+        d = held(d, **{name: F.col(f"_u{name}") for name in found}).drop(*(f"_u{name}" for name in found))
     p = f"{prefix}_" if prefix else ""
     columns = [F.col(c).alias(f"meta_{c}") for c in meta]
     columns += [c.alias(f"{kind}_{p}{name}") for kind, name, c in feature_columns(names, types)]

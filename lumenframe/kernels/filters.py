@@ -35,10 +35,10 @@ def gaussian(a: np.ndarray, sigma: float) -> np.ndarray:
 
 
 def rank_median(a: np.ndarray, radius: int) -> np.ndarray:
-    """Median over the pixels of a disk that are in the frame; the lower one of an even number."""
+    """Median over the pixels of a disk that are in the frame; the upper one of an even number."""
     w = windows(np.asarray(a, float), radius, "constant", constant_values=np.nan)[:, :, disk(radius)]
     ordered, n = np.sort(w, axis=2), (~np.isnan(w)).sum(2)
-    return np.take_along_axis(ordered, ((n - 1) // 2)[:, :, None], 2)[:, :, 0]
+    return np.take_along_axis(ordered, (n // 2)[:, :, None], 2)[:, :, 0]
 
 
 def median_square(a: np.ndarray, size: int) -> np.ndarray:

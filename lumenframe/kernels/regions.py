@@ -6,7 +6,7 @@ import numpy as np
 
 from .labels import label
 
-#: The 59 scalars, in output order.
+#: The 59 scalars, in output order.
 SHAPE = [
     *"area convex_area eccentricity equivalent_diameter euler_number feret_diameter_max filled_area major_axis_length minor_axis_length orientation perimeter perimeter_crofton solidity extent".split(),
     *(f"inertia_tensor-{i}-{j}" for i in range(2) for j in range(2)),
@@ -153,4 +153,5 @@ def glcm_row(a: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return np.array([*out, *gradient], float)
 
 
+#: The 28 texture numbers, in output order.
 TEXTURE = [f"{p}_{m}_{d}" for p in "contrast dissimilarity homogeneity energy correlation ASM".split() for d in (3, 5) for m in ("mean", "std")] + [f"sobel_{m}" for m in ("mean", "std", "max", "min")]

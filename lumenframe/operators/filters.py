@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import normality, statistics, total
 from ..model import channel, held
+from ..plugins import resolve
 
 #: K-squared above which a channel is not normal at 5 %, and the 5 % point of the standard normal.
 K2_LIMIT, Z05 = 5.991464547107979, -1.6448536269514722
@@ -34,10 +35,9 @@ def mask_filters(images: DataFrame, filters: list[dict], main_channel: int, n_ch
     """
     flags = [F.lit(True) for _ in range(n_channels)]
     for f in filters or []:
-        if f["method"] not in FILTERS:
-            raise ValueError(f"unknown mask filter {f['method']!r}; one of {sorted(FILTERS)}")
-        for k in f.get("channel_indices") or range(n_channels):
-            flags[k] = flags[k] & FILTERS[f["method"]](channel(F.col("pixels"), F.col("shape"), k), **(f.get("settings") or {}))
+        test, wanted = resolve(FILTERS, f["method"], "mask filter"), f.get("channel_indices")
+        for k in range(n_channels) if wanted is None else wanted:
+            flags[k] = flags[k] & test(channel(F.col("pixels"), F.col("shape"), k), **(f.get("settings") or {}))
     out = held(images, mask_filter=F.when(F.col("pixels").isNotNull(), F.array(*flags)))
     return out.withColumn("pixels", F.when(F.get("mask_filter", F.lit(main_channel)), F.col("pixels")))
 

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import quantile, total
 from ..model import held
+from ..plugins import resolve
 
-OPS = {"max": F.array_max, "mean": lambda a: total(a) / F.size(a), "median": lambda a: quantile(F.array_sort(a), 0.5)}
+#: Functions of (array, axis).
+OPS = {"max": np.max, "mean": np.mean, "median": np.median}
 
 
 def project(images: DataFrame, op: str = "max") -> DataFrame:
-    """(channels, planes, rows, columns) to (channels, rows, columns), in the row."""
-    if op not in OPS:
-        raise ValueError(f"unknown projection {op!r}; one of {sorted(OPS)}")
-    s = F.col("shape")
-    z, n = F.get(s, F.lit(1)), F.get(s, F.lit(2)) * F.get(s, F.lit(3))
-    planes = lambda i: F.transform(F.sequence(F.lit(0), z - 1), lambda k: F.get("pixels", ((F.floor(i / n) * z + k) * n + F.pmod(i, n)).cast("int")))
-    flat = F.transform(F.sequence(F.lit(0), F.get(s, F.lit(0)) * n - 1), lambda i: OPS[op](planes(i)))
-    return held(images, pixels=F.when(F.col("pixels").isNotNull(), flat), shape=F.array(F.get(s, F.lit(0)), F.get(s, F.lit(2)), F.get(s, F.lit(3))))
+    """(channels, planes, rows, columns) to (channels, rows, columns), in the row.
+
+    ``op`` is one of OPS, or ``module:function`` of (array, axis).
+    """
+    each, s = resolve(OPS, op, "projection"), F.col("shape")
+
+    @F.pandas_udf("array<double>")
+    def run(pixels: pd.Series, shape: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else each(np.asarray(p, float).reshape(tuple(k)), axis=1).ravel() for p, k in zip(pixels, shape)])
+
+    d = images.withColumn("_p", run("pixels", "shape"))
+    return held(d, pixels=F.col("_p"), shape=F.array(F.get(s, F.lit(0)), F.get(s, F.lit(2)), F.get(s, F.lit(3)))).drop("_p")

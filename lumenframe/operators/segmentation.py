@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..kernels import filters as K
 from ..kernels import labels as L
+from ..plugins import resolve
+from ..sinks import tables
 
 
 def _nuclei(x: np.ndarray, cell_diameter: float, dapi_channel_index: int = 0, expansion_factor: float = 0.1) -> np.ndarray:
@@ -24,31 +26,35 @@ def _nuclei(x: np.ndarray, cell_diameter: float, dapi_channel_index: int = 0, ex
 
 
 def children_of(parents: np.ndarray, children: np.ndarray, share: float = 0.1) -> np.ndarray:
-    """Children relabelled by the parent of whose area they overlap more than ``share``."""
+    """Inside each parent, the pixels of the children that overlap more than ``share`` of its area."""
     out = np.zeros_like(parents)
     for k in np.unique(parents[parents > 0]):
         at = parents == k
         ids, counts = np.unique(children[at], return_counts=True)
         kept = ids[(ids > 0) & (counts / at.sum() > share)]
-        out[np.isin(children, kept)] = k
+        out[at & np.isin(children, kept)] = k
     return out
 
 
-def _model(x: np.ndarray, parent_channel_index: int = 0, dapi_channel_index: int | None = None, channel_indices=None, cell_diameter=None, flow_threshold: float = 0.4) -> np.ndarray:
-    """Cells by a pretrained network, if its library is there; children go to their parents."""
+def _model(x: np.ndarray, parent_channel_index: int = 0, dapi_channel_index: int = 0, channel_indices=None, cell_diameter=None, flow_threshold: float = 0.4, gpu: bool = False) -> np.ndarray:
+    """Cells by a pretrained network, if its library is there; children of the other channels (all if
+    ``channel_indices`` is None) go to their parents. Each channel is seen beside the nuclei."""
     try:
         from cellpose import models
     except ImportError as e:
         raise RuntimeError("the neural backend isn't installed; use watershed_dapi or register a method") from e
     global _net
-    _net = globals().get("_net") or models.Cellpose(gpu=False, model_type="cyto2")
-    channels = [0, 0] if dapi_channel_index is None else [1, 2]
-    main = x[parent_channel_index] if dapi_channel_index is None else np.stack([x[parent_channel_index], x[dapi_channel_index]])
-    parents = _net.eval(main, channels=channels, diameter=cell_diameter, flow_threshold=flow_threshold)[0].astype(int)
+    _net = globals().get("_net") or models.Cellpose(gpu=gpu, model_type="cyto2")
+    return family(x, lambda pair: _net.eval(pair, channels=[1, 2], diameter=cell_diameter, flow_threshold=flow_threshold)[0], parent_channel_index, dapi_channel_index, channel_indices)
+
+
+def family(x: np.ndarray, cells: Callable[[np.ndarray], np.ndarray], parent: int, nuclei: int, wanted: list[int] | None = None) -> np.ndarray:
+    """Labels a channel: ``cells`` of (channel, nuclei) gives the parents, and children in other channels."""
+    parents = cells(x[[parent, nuclei]]).astype(int)
     out = np.stack([parents] * len(x))
-    for k in channel_indices or []:
-        if k != parent_channel_index:
-            out[k] = children_of(parents, _net.eval(x[k], channels=[0, 0], diameter=cell_diameter, flow_threshold=flow_threshold)[0].astype(int))
+    for k in range(len(x)) if wanted is None else wanted:
+        if k != parent:
+            out[k] = children_of(parents, cells(x[[k, nuclei]]).astype(int))
     return out
 
 
@@ -57,7 +63,7 @@ METHODS: dict[str, Callable] = {"watershed_dapi": _nuclei, "cellpose": _model}
 
 def label_masks(images: DataFrame, method: str, **settings) -> DataFrame:
     """Add ``label_mask``, a flat array of labels for all channels."""
-    f = METHODS[method]
+    f = resolve(METHODS, method, "segmentation")
 
     @F.pandas_udf("array<int>")
     def run(pixels: pd.Series, shape: pd.Series) -> pd.Series:
@@ -116,5 +122,5 @@ def segment(images: DataFrame, method: str, settings: dict | None = None, group_
     if cut:
         out = subtract_mask(out, **cut)
     if export:
-        out.select("event", *group_keys, "shape", "label_mask").write.mode("overwrite").parquet(f"{export}/masks")
+        tables.label_masks(out, export, list(group_keys))
     return to_events(out, list(group_keys), parent)

@@ -47,3 +47,5 @@ pz AS (SELECT event, grp, channel, z, r, c, coalesce(v, 0.0) AS v FROM ev CROSS
   CROSS JOIN range({SIDE}) b(r) CROSS JOIN range({SIDE}) d(c) LEFT JOIN sums USING (event, channel, z, r, c))"""
 #: The circle of 16 x 16.
 IN_CIRCLE = "((c - 8) * (c - 8) + (r - 8) * (r - 8) <= 25)"
+#: Joins px a with its neighbours b, mirrored at the borders, at offsets dy and dx.
+NEAR = f"JOIN range(-1, 2) y(dy) ON true JOIN range(-1, 2) x(dx) ON true JOIN px b ON b.event = a.event AND b.channel = a.channel AND b.r = greatest(0, least({SIDE - 1}, a.r + dy)) AND b.c = greatest(0, least({SIDE - 1}, a.c + dx))"

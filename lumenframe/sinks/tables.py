@@ -44,7 +44,7 @@ def label_masks(df: DataFrame, output: str, keys: list[str]) -> str:
     if not keys:
         raise ValueError("exporting label masks needs a group key")
     path = f"{output}/masks"
-    df.select(*keys, "shape", "label_mask").write.mode("overwrite").partitionBy(*keys).parquet(path)
+    df.select(*(c for c in ("event",) if c in df.columns), *keys, "shape", "label_mask").write.mode("overwrite").partitionBy(*keys).parquet(path)
     return path
 
 
