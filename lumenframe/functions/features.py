@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,53 +82,74 @@ def texture_features(pixels: pd.Series, masks: pd.Series, combined: pd.Series, s
     return pd.Series(out)
 
 
-def feature_columns(names: list[str], types: list[str]) -> list[tuple[str, str, Column]]:
-    """(kind, name, column) of all features of a masked image row, in fixed order; only ``types``."""
-    out: list[tuple[str, str, Column]] = []
+def feature_columns(names: list[str], types: list[str], tag: str = "") -> list[tuple[str, str, str]]:
+    """(kind, name, SQL) of all features in fixed order, from the columns that ``feature_arrays`` made with ``tag``."""
+    out: list[tuple[str, str, str]] = []
+
+    def at(group: str, *places: int) -> str:
+        x = f"_{tag}_{group}"
+        for k in places:
+            x = f"get({x}, {k})"
+        return x
+
     if "regions" in types:
-        out += [("meta", f"regions_{c}", F.get("regions", F.lit(k))) for k, c in enumerate(names)]
+        out += [("meta", f"regions_{c}", at("regions", k)) for k, c in enumerate(names)]
     if "bbox" in types:
-        out += [("meta", f"bbox_{f}", F.col(f"bbox.{f}").cast("double")) for f in ("minr", "minc", "maxr", "maxc")]
+        out += [("meta", f"bbox_{f}", f"cast({at('bbox')}.{f} AS double)") for f in ("minr", "minc", "maxr", "maxc")]
     if "shape" in types:
         for k, c in enumerate(["combined", *names]):
-            out += [("feat", f"{p}_{c}", F.get(F.get("_shape", F.lit(k)), F.lit(i))) for i, p in enumerate(SHAPE)]
+            out += [("feat", f"{p}_{c}", at("shape", k, i)) for i, p in enumerate(SHAPE)]
     if "raw" in types:
         for k, c in enumerate(names):
-            out += [("feat", f"{p}_{c}", F.get(F.get("_raw", F.lit(k)), F.lit(i))) for i, p in enumerate(STATISTICS)]
+            out += [("feat", f"{p}_{c}", at("raw", k, i)) for i, p in enumerate(STATISTICS)]
     if "intensity" in types:
         for k, c in enumerate(names):
             for i, view in enumerate(VIEWS):
-                out += [("feat", f"{view}{p}_{c}", F.get(F.get(F.get("_views", F.lit(k)), F.lit(i)), F.lit(j))) for j, p in enumerate(STATISTICS)]
+                out += [("feat", f"{view}{p}_{c}", at("intensity", k, i, j)) for j, p in enumerate(STATISTICS)]
     if "texture" in types:
         for j, view in enumerate(("", "combined_")):
             for k, c in enumerate(names):
-                out += [("feat", f"{view}{p}_{c}", F.get(F.get("_texture", F.lit(j * len(names) + k)), F.lit(i))) for i, p in enumerate(TEXTURE)]
+                out += [("feat", f"{view}{p}_{c}", at("texture", j * len(names) + k, i)) for i, p in enumerate(TEXTURE)]
     return out
 
 
-def features(images: DataFrame, names: list[str], types: list[str], meta: list[str] = ("event",), prefix: str = "") -> DataFrame:
-    """The wide table of ``types`` for image rows (masked, unless only ``raw`` is asked for).
+def feature_arrays(images: DataFrame, types: list[str], meta: list[str] = ("event",), tag: str = "") -> DataFrame:
+    """``meta`` (as meta_...) and one column a feature group of ``types``, arrays or a box, for image rows.
 
-    Each feature group is computed once a row; rejected rows keep their meta columns and nulls.
+    Masked rows, unless only ``raw`` is asked for. Each group is computed once a row; rejected rows keep
+    their meta columns and nulls.
     """
     unknown = set(types) - set(TYPES)
     if unknown:
         raise ValueError(f"unknown feature types {sorted(unknown)}; among {TYPES}")
     if "mask" not in images.columns and set(types) - {"raw"}:
         raise ValueError("without masks only raw features can be computed")
-    # one Python call for all groups, and each group once a row
-    wanted = {
-        "shape": ("_shape", lambda: shape_features("mask", "combined_mask", "shape")),
-        "raw": ("_raw", lambda: raw_features("pixels", "shape")),
-        "intensity": ("_views", lambda: intensity_features()("pixels", "mask", "combined_mask", "background", "combined_background", "shape")),
-        "texture": ("_texture", lambda: texture_features("pixels", "mask", "combined_mask", "shape")),
+    groups = {
+        "regions": lambda: F.col("regions"),
+        "bbox": lambda: F.col("bbox"),
+        "shape": lambda: shape_features("mask", "combined_mask", "shape"),
+        "raw": lambda: raw_features("pixels", "shape"),
+        "intensity": lambda: intensity_features()("pixels", "mask", "combined_mask", "background", "combined_background", "shape"),
+        "texture": lambda: texture_features("pixels", "mask", "combined_mask", "shape"),
     }
-    found = {name: made() for kind, (name, made) in wanted.items() if kind in types}
-    d = images
-    if found:
-        d = images.select(*images.columns, *(f.alias(f"_u{name}") for name, f in found.items()))
-        d = held(d, **{name: F.col(f"_u{name}") for name in found}).drop(*(f"_u{name}" for name in found))
-    p = f"{prefix}_" if prefix else ""
-    columns = [F.col(c).alias(f"meta_{c}") for c in meta]
-    columns += [c.alias(f"{kind}_{p}{name}") for kind, name, c in feature_columns(names, types)]
-    return d.select(*columns)
+    made = {f"_{tag}_{g}": groups[g]() for g in TYPES if g in types}
+    d = images.select(*(F.col(c).alias(f"meta_{c}") for c in meta), *(f.alias(f"u{name}") for name, f in made.items()))
+    return held(d, **{name: F.col(f"u{name}") for name in made}).drop(*(f"u{name}" for name in made)) if made else d
+
+
+def spread(arrays: DataFrame, names: list[str], branches: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """The wide table: meta columns, then for each (prefix, tag, types) the features of its arrays.
+
+    One projection from SQL text: a column object for each of thousands of features would cost the driver
+    more than their analysis.
+    """
+    out = [f"`{c}`" for c in arrays.columns if c.startswith("meta_")]
+    for prefix, tag, types in branches:
+        p = f"{prefix}_" if prefix else ""
+        out += [f"{sql} AS `{kind}_{p}{name}`" for kind, name, sql in feature_columns(names, types, tag)]
+    return arrays.selectExpr(*out)
+
+
+def features(images: DataFrame, names: list[str], types: list[str], meta: list[str] = ("event",), prefix: str = "") -> DataFrame:
+    """The wide table of ``types`` for image rows: meta columns, then features with ``prefix``."""
+    return spread(feature_arrays(images, types, meta), names, [(prefix, "", types)])

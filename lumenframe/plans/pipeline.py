@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import TYPES, features
+from ..functions.features import TYPES, feature_arrays, spread
 from ..model import channel
 from ..operators import filters, illumination, masking, normalization, projection, sampling, segmentation
 
@@ -160,14 +160,16 @@ def build(config: dict, images: DataFrame, meta: list[str] = ("event",), limit:
     out, boundaries = None, {}
     keys = [m for m in meta if m in ("event", "_draw")]
     by = (c["normalization"] or {}).get("group_by") or "group"
-    for name, b in branches:
+    for k, (name, b) in enumerate(branches):
         if c["filter"] is not None:
             b = filters.threshold(b)
         if c["normalization"] is not None:
             lower, upper = (c["normalization"].get(k) for k in ("lower", "upper"))
             b, boundaries[name] = normalization.normalize(b, by, 0.0 if lower is None else lower, 1.0 if upper is None else upper)
-        wide = features(b, names, c["types"][name], meta if out is None else keys, name)
-        out = wide if out is None else out.join(wide, [f"meta_{k}" for k in keys], "left")
+        # branches meet as a few arrays a row, and spread into columns once
+        arrays = feature_arrays(b, c["types"][name], meta if out is None else keys, f"b{k}")
+        out = arrays if out is None else out.join(arrays, [f"meta_{x}" for x in keys], "left")
+    out = spread(out, names, [(name, f"b{k}", c["types"][name]) for k, (name, _) in enumerate(branches)])
     return Result(out, {k: normalization.channel_boundaries(x, names, by) for k, x in boundaries.items()}, kept)
 
 
