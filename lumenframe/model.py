@@ -6,6 +6,8 @@ row and loses ``pixels`` and ``mask``; everything computed from them is then nul
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,10 +60,17 @@ def image_rows(sparse: DataFrame, shape: tuple[int, ...]) -> DataFrame:
 
     Values of one place add up; absent places are 0. A group gathers as many rows as an image has pixels.
     """
-    n = 1
-    for s in shape:
-        n *= s
-    zeros = sparse.select("event").distinct().select("event", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"), F.lit(0.0).alias("v"))
-    every = sparse.select("event", F.col("i").cast("int").alias("i"), F.col("v").cast("double").alias("v")).unionByName(zeros)
-    g = every.groupBy("event", "i").agg(F.sum("v").alias("v")).groupBy("event").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("s"))
-    return held(g, shape=F.array(*map(F.lit, shape)), pixels=F.transform("s", lambda x: x.v)).drop("s")
+    size = int(np.prod(shape))
+
+    @F.pandas_udf("array<double>")
+    def dense(at: pd.Series, v: pd.Series) -> pd.Series:
+        out = []
+        for i, x in zip(at, v):
+            full = np.zeros(size)
+            full[np.asarray(i, int)] = x
+            out.append(full)
+        return pd.Series(out)
+
+    each = sparse.groupBy("event", F.col("i").cast("int").alias("i")).agg(F.sum(F.col("v").cast("double")).alias("v"))
+    g = each.groupBy("event").agg(F.collect_list(F.struct("i", "v")).alias("s"))
+    return held(g.withColumn("_p", dense("s.i", "s.v")), shape=F.array(*map(F.lit, shape)), pixels=F.col("_p")).drop("s", "_p")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +11,41 @@ from ..kernels.filters import medfilt, median_square
 from ..model import held
 
 
+#: Values of the partial sums that a task holds at most, over all keys.
+HELD = 32 << 20
+
+
+def _sums(batches):
+    """(key, shape, sum of pixels, images) of what a partition has, let go of when it grows large."""
+    sums: dict[tuple, list] = {}
+    held = 0
+
+    def rows():
+        return pd.DataFrame([(*k[:1], list(k[1]), s, n) for k, (s, n) in sums.items()], columns=["_key", "shape", "pixels", "n"])
+
+    for pdf in batches:
+        for key, shape, pixels in zip(pdf["_key"], pdf["shape"], pdf["pixels"]):
+            at = (key, tuple(shape))
+            if at in sums:
+                sums[at][0] += np.asarray(pixels, float)
+                sums[at][1] += 1
+            else:
+                sums[at] = [np.array(pixels, float), 1]
+                held += len(pixels)
+        if held > HELD:
+            yield rows()
+            sums.clear()
+            held = 0
+    if sums:
+        yield rows()
+
+
 def mean_images(images: DataFrame, key: str) -> DataFrame:
-    """(key, shape, avg): means by partial sums, a row a pixel place, then one array a key."""
-    d = images.where("pixels IS NOT NULL").select(key, "shape", F.posexplode("pixels").alias("i", "v"))
-    m = d.groupBy(key, "shape", "i").agg(F.avg("v").alias("m"))
+    """(key, shape, avg): sums of images in each partition first, then by pixel place, then one array a key."""
+    d = images.where("pixels IS NOT NULL").select(F.col(key).alias("_key"), "shape", "pixels")
+    d = d.mapInPandas(_sums, d.select("_key", "shape", "pixels", F.lit(0).cast("long").alias("n")).schema)
+    d = d.select(F.col("_key").alias(key), "shape", "n", F.posexplode("pixels").alias("i", "v"))
+    m = d.groupBy(key, "shape", "i").agg((F.sum("v") / F.sum("n")).alias("m"))
     g = m.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s.m).alias("avg"), F.min("shape").alias("shape"), F.count_distinct("shape").alias("_n"))
     return g.withColumn("avg", F.when(F.col("_n") > 1, F.raise_error(F.lit("images of one key differ in shape"))).otherwise(F.col("avg"))).drop("_n")
 

@@ -13,7 +13,7 @@ def extremes(images: DataFrame, group: str = "group", lower: float = 0.0, upper:
     """(group, channel, lo, hi) of the masked pixels if there is a mask, else of all.
 
     For 0 and 1 each event gives its own extremes first, so two numbers an event and channel are
-    shuffled; other quantiles need the pixels themselves.
+    shuffled; other quantiles need the distinct values and their counts.
     """
     if "mask" in images.columns:
         n = frame(F.col("shape"))
@@ -23,7 +23,9 @@ def extremes(images: DataFrame, group: str = "group", lower: float = 0.0, upper:
         d = channels(images, group)
     if (lower, upper) == (0.0, 1.0):
         return d.groupBy(group, "channel").agg(F.min(F.array_min("v")).alias("lo"), F.max(F.array_max("v")).alias("hi"))
-    return d.select(group, "channel", F.explode("v").alias("x")).groupBy(group, "channel").agg(F.percentile("x", F.lit(lower)).alias("lo"), F.percentile("x", F.lit(upper)).alias("hi"))
+    # equal values are counted first, dealt by value, so that a hot group's pixels don't meet in one task
+    counted = d.select(group, "channel", F.explode("v").alias("x")).groupBy(group, "channel", "x").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(group, "channel").agg(F.percentile("x", F.lit(lower), F.col("n")).alias("lo"), F.percentile("x", F.lit(upper), F.col("n")).alias("hi"))
 
 
 def normalize(images: DataFrame, group: str = "group", lower: float = 0.0, upper: float = 1.0) -> tuple[DataFrame, DataFrame]:
