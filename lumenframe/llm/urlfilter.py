@@ -6,7 +6,8 @@ is then exact, tested against bit arrays that scalar subqueries put into the pla
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is not
 listed (allow); an empty table or an empty list gives no level (nothing is listed); repeated keys
-count once; a host of any length has at most as many keys as the longest listed name has labels.
+count once; a host of any length has at most as many keys as the longest listed name has labels; an input
+column named as an added one gives way to it.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from .common import stage, table
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Listed domains; a host is blocked if it or a domain above it is listed.
 LISTED = tuple(f"{name}.example.{tld}" for name in ("adult-x", "casino-win", "cheap-pills") for tld in ("com", "net", "org"))
-#: Bits of one level at most: what a driver may hand to every task.
-MAX_BITS = 1 << 27
+#: Bits of one shard of a level, and of all levels: what a driver may hand to every task (64 MiB).
+SHARD_BITS, MAX_BITS = 1 << 27, 1 << 29
 
 
 def host_path(url) -> tuple[F.Column, F.Column]:
@@ -51,50 +52,66 @@ def keys_of(host, labels: int) -> F.Column:
 
 
 class Cascade:
-    """Levels of (words, n_bits, n_hashes); ``words`` is a one-row frame with an array of longs."""
+    """Levels of (shards of words, bits a shard, hashes); a shard is a one-row frame with an array of longs."""
 
-    def __init__(self, levels: list[tuple[DataFrame, int, int]], counts: list[int]):
+    def __init__(self, levels: list[tuple[list[DataFrame], int, int]], counts: list[int]):
         self.levels, self.counts = levels, counts
 
+    @staticmethod
+    def _shard(key, level: int, shards: int) -> F.Column:
+        return F.pmod(F.xxhash64(F.lit("shard"), key, F.lit(level)), F.lit(shards)).cast("int")
+
     @staticmethod
     def _bit(key, level: int, n_bits: int, i: int) -> F.Column:
         a, b = F.xxhash64(key, F.lit(level)), F.xxhash64(F.lit(~level), key)
         return F.pmod(F.pmod(a, F.lit(n_bits)) + i * (F.pmod(b, F.lit(n_bits - 1)) + 1), F.lit(n_bits))
 
     @classmethod
-    def build(cls, listed: DataFrame, universe: DataFrame) -> Cascade:
-        """``listed`` and ``universe`` have a column ``key``. Levels are staged; their counts steer the loop."""
+    def build(cls, listed: DataFrame, universe: DataFrame, shard_bits: int = SHARD_BITS, max_bits: int = MAX_BITS) -> Cascade | None:
+        """``listed`` and ``universe`` have a column ``key``. Levels are staged; their counts steer the loop.
+
+        A level of more than ``shard_bits`` is dealt to shards by key. None if the levels together would
+        take more than ``max_bits``: too much to hand to every task.
+        """
         keys = universe.select("key", F.lit(0).alias("listed")).unionByName(listed.select("key", F.lit(1).alias("listed")))
         keys = stage(keys.where("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed")), "cascade-keys")
         n_in, n_out = keys.agg(F.coalesce(F.sum("listed"), F.lit(0)), F.coalesce(F.sum(1 - F.col("listed")), F.lit(0))).first()
-        levels: list[tuple[DataFrame, int, int]] = []
+        levels: list[tuple[list[DataFrame], int, int]] = []
         counts: list[int] = []
-        n, kind, encoded, other = n_in, 1, keys.where("listed = 1"), keys.where("listed = 0")
+        n, encoded, other, taken = n_in, keys.where("listed = 1"), keys.where("listed = 0"), 0
         while n:
             rate = min(0.5, max(1e-6, math.sqrt(0.5) * n_in / max(1, n_out))) if not levels else 0.5
-            n_bits = max(64, 64 * math.ceil(n * -math.log(rate) / math.log(2) ** 2 / 64))
-            if n_bits > MAX_BITS:
-                raise ValueError(f"a level of {n_bits} bits exceeds MAX_BITS")
-            n_hashes, depth = max(1, round(-math.log2(rate))), len(levels)
-            bits = encoded.select(F.explode(F.array(*(cls._bit(F.col("key"), depth, n_bits, i) for i in range(n_hashes)))).alias("bit"))
-            words = bits.groupBy(F.expr("bit div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("v"))
-            # an array element a word: the map has at most n_bits / 64 entries
-            words = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m")).select(F.transform(F.sequence(F.lit(0), F.lit(n_bits // 64 - 1)), lambda i: F.coalesce(F.try_element_at("m", i.cast("long")), F.lit(0).cast("long"))).alias("words"))
-            levels.append((words := stage(words, "cascade-level"), n_bits, n_hashes))
+            needed, depth = n * -math.log(rate) / math.log(2) ** 2, len(levels)
+            shards = math.ceil(needed / shard_bits)
+            n_bits = max(64, 64 * math.ceil(needed / shards / 64))
+            taken += n_bits * shards
+            if taken > max_bits:
+                return None
+            n_hashes = max(1, round(-math.log2(rate)))
+            bits = encoded.select(cls._shard(F.col("key"), depth, shards).alias("s"), F.explode(F.array(*(cls._bit(F.col("key"), depth, n_bits, i) for i in range(n_hashes)))).alias("bit"))
+            words = bits.select("s", F.expr("bit div 64").alias("w"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("v"))
+            # every word of every shard once, so that the sorted list is the array
+            none = encoded.sparkSession.range(shards * (n_bits // 64)).select(F.expr(f"cast(id div {n_bits // 64} as int)").alias("s"), F.expr(f"id % {n_bits // 64}").alias("w"), F.lit(0).cast("long").alias("v"))
+            words = words.unionByName(none).groupBy("s", "w").agg(F.bit_or("v").alias("v"))
+            words = stage(words.groupBy("s").agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x.v).alias("words")), "cascade-level")
+            levels.append(([words.where(F.col("s") == k).select("words") for k in range(shards)], n_bits, n_hashes))
             counts.append(n)
             through = stage(other.where(cls._passes(F.col("key"), levels[-1], depth)), "cascade-through")
-            n, kind = through.count(), 1 - kind
+            n = through.count()
             encoded, other = through, encoded
         return cls(levels, counts)
 
     @classmethod
-    def _passes(cls, key, level: tuple[DataFrame, int, int], depth: int) -> F.Column:
-        words, n_bits, n_hashes = level
-        array = words.scalar()
-        test = F.lit(True)
+    def _passes(cls, key, level: tuple[list[DataFrame], int, int], depth: int) -> F.Column:
+        shards, n_bits, n_hashes = level
+        at, test = cls._shard(key, depth, len(shards)), F.lit(True)
         for i in range(n_hashes):
             bit = cls._bit(key, depth, n_bits, i)
-            test = test & (F.getbit(F.get(array, F.floor(bit / 64).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1)
+            place = F.floor(bit / 64).cast("int")
+            word = F.get(shards[0].scalar(), place)
+            for k, words in enumerate(shards[1:], 1):
+                word = F.when(at == k, F.get(words.scalar(), place)).otherwise(word)
+            test = test & (F.getbit(word, F.pmod(bit, F.lit(64)).cast("int")) == 1)
         return test
 
     def contains(self, key) -> F.Column:
@@ -105,23 +122,44 @@ class Cascade:
         return answer
 
 
-def filter_urls(pages: DataFrame, listed: Sequence[str] = LISTED, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
-    """Add ``_host``, ``_path``, ``_rule``, ``_listed`` and ``_verdict`` to a frame with a column url."""
+ADDED = ("_host", "_path", "_rule", "_listed", "_verdict")
+
+
+def filter_urls(pages: DataFrame, listed: DataFrame | Sequence[str] = LISTED, rules: Sequence[tuple[str, str, str]] = RULES, max_bits: int = MAX_BITS) -> DataFrame:
+    """Add ``_host``, ``_path``, ``_rule``, ``_listed`` and ``_verdict`` to a frame with a column url.
+
+    ``listed`` are domains, or a table of them with a column ``key``. A list whose levels would take more
+    than ``max_bits`` is looked up by hosts: the distinct ones join it, and the pages join them, salted.
+    """
     spark = pages.sparkSession
+    if not isinstance(listed, DataFrame):
+        listed = spark.createDataFrame([(k,) for k in listed], "key string")
     host, path = host_path(F.col("url"))
-    p = pages.withColumns({"_host": host, "_path": path})
-    labels = max((k.count(".") + 1 for k in listed), default=1)
-    universe = p.select(F.explode(keys_of(F.col("_host"), labels)).alias("key")).distinct()
-    cascade = Cascade.build(spark.createDataFrame([(k,) for k in listed], "key string"), universe)
-    found = F.exists(keys_of(F.col("_host"), labels), lambda k: cascade.contains(k)) if not cascade.levels else None
-    if cascade.levels:
+    p = pages.drop(*ADDED).withColumns({"_host": host, "_path": path})
+    labels = listed.agg(F.coalesce(F.max(F.size(F.split("key", r"\."))), F.lit(1))).first()[0]
+    hosts = stage(p.select("_host").distinct(), "hosts")
+    universe = hosts.select(F.explode(keys_of(F.col("_host"), labels)).alias("key")).distinct()
+    cascade = Cascade.build(listed, universe, max_bits=max_bits)
+    if cascade is None:
+        p = _joined(p, hosts, listed, labels)
+    else:
         # subqueries can't stand inside a lambda: one test a number of labels
-        found = F.lit(False)
-        keys = keys_of(F.col("_host"), labels)
-        for i in range(labels):
+        found, keys = F.lit(False), keys_of(F.col("_host"), labels)
+        for i in range(labels if cascade.levels else 0):
             found = found | (F.get(keys, F.lit(i)).isNotNull() & cascade.contains(F.coalesce(F.get(keys, F.lit(i)), F.lit(""))))
-    p = p.withColumns({"_rule": rule_of(F.col("_host"), F.col("_path"), rules), "_listed": found})
-    return p.withColumn("_verdict", F.coalesce(F.col("_rule.verdict"), F.when(F.col("_listed"), "block").otherwise("allow")))
+        p = p.withColumn("_listed", found)
+    p = p.withColumn("_rule", rule_of(F.col("_host"), F.col("_path"), rules))
+    return p.withColumn("_verdict", F.coalesce(F.col("_rule.verdict"), F.when(F.col("_listed"), "block").otherwise("allow"))).select(*(c for c in pages.columns if c not in ADDED), *ADDED)
+
+
+def _joined(p: DataFrame, hosts: DataFrame, listed: DataFrame, labels: int, salts: int = 64) -> DataFrame:
+    """``p`` with ``_listed`` by joins, for lists too large for a cascade."""
+    keys = hosts.select("_host", F.explode(keys_of(F.col("_host"), labels)).alias("key"))
+    hit = stage(keys.join(listed.select("key").distinct(), "key", "left_semi").select("_host").distinct(), "listed-hosts")
+    hit = hit.select(F.col("_host").alias("_hit"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    spread = F.pmod(F.xxhash64("url"), F.lit(salts)).cast("int")
+    out = p.join(hit, (F.col("_host") == F.col("_hit")) & (spread == F.col("_salt")), "left")
+    return out.withColumn("_listed", F.col("_hit").isNotNull()).drop("_hit", "_salt")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
