@@ -54,6 +54,11 @@ def sized(small: DataFrame, *wide: str) -> DataFrame | None:
     return F.broadcast(small) if n <= BROADCAST_ROWS and b <= BROADCAST_BYTES else None
 
 
+def carry(df: DataFrame, *needed: str) -> DataFrame:
+    """A struct ``_row`` of all columns and copies of the ``needed`` ones, so that no other name can clash."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *needed)
+
+
 def unit_hash(seed: str, *cols) -> F.Column:
     """A number in [0, 1) from 52 bits of MD5 over the seed and the columns (null: empty)."""
     text = F.concat_ws(":", F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols))

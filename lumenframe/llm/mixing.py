@@ -1,10 +1,9 @@
 """Mixing sources to target weights: token sums by source, repetition rates, seeded copies.
 
-Edge cases: a null text has size 0; a null source is a source of its own, last in order; a null
-doc_id draws as the empty string in ``mix``, as its SQL has it, and by its text in ``emit``; repeated
-rows draw alike; an empty table gives no rows; a source
-of size 0 has target 0 and takes nothing. Columns other than doc_id, text and source pass through
-``emit`` untouched, whatever their names.
+Edge cases: a null text has size 0; a null source is a source of its own, last in order; a row without
+doc_id draws by its text; repeated rows, and rows that repeat a doc_id, draw alike; an empty table gives no
+rows; a source of size 0 has target 0 and takes nothing. Columns other than doc_id, text and source pass
+through ``emit`` untouched, whatever their names; in ``mix``, those named as an added one give way to it.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, sized, stage, table, unit_hash
+from .common import WORD, carry, sized, stage, table, unit_hash
 
 SEED = "mix-1"
 
@@ -44,15 +43,18 @@ def targets(sources: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3
     return s.withColumn("target", F.least(F.col("_cap").cast("double"), F.col("_level") * F.col("_w"))).drop("_w", "_cap", "_level")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = SEED, draw: F.Column | None = None) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``; ``draw`` is in [0, 1), by doc_id if None.
+ADDED = ("_size", "_source_size", "_target", "_copies")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = SEED) -> DataFrame:
+    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``.
 
     Sources are summed with partial aggregation; their table is broadcast only after its size is
     measured, and beyond the bound joined on (source, salt), so that a hot source spreads out.
     """
     sums = docs.select("source", word_count(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = stage(targets(stage(sums, "mix-sums"), weights, cap), "mix-targets").withColumnsRenamed({"source": "_source", "source_size": "_source_size", "target": "_target"})
-    d = docs.withColumn("_size", word_count(F.col("text")))
+    d = carry(docs, "doc_id", "text", "source").withColumn("_size", word_count(F.col("text")))
     if (small := sized(plan, "_source")) is not None:
         d = d.join(small, d["source"].eqNullSafe(small["_source"]))
     else:
@@ -61,16 +63,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed:
         plan = plan.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         d = d.join(plan.hint("shuffle_hash"), d["source"].eqNullSafe(plan["_source"]) & (d["_salt"] == plan["_salt_of"])).drop("_salt", "_salt_of")
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    draw = unit_hash(seed, "doc_id") if draw is None else draw
+    draw = F.when(F.col("doc_id").isNull(), unit_hash(seed, "doc_id", "text")).otherwise(unit_hash(seed, "doc_id"))
     copies = F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")
-    return d.withColumn("_copies", copies).drop("_source")
+    return d.withColumn("_copies", copies).select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in ADDED), *ADDED)
 
 
 def emit(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it."""
-    draw = F.when(F.col("doc_id").isNull(), unit_hash(seed, "doc_id", "text")).otherwise(unit_hash(seed, "doc_id"))
-    mixed = mix(docs, weights, cap, seed, draw).where(F.col("_copies") > 0)
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*(mixed[c] for c in docs.columns))
+    mixed = mix(carry(docs, "doc_id", "text", "source").withColumnRenamed("_row", "row"), weights, cap, seed).where(F.col("_copies") > 0)
+    return mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).select("row.*")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +85,7 @@ def mix_sql(documents: str) -> str:
     return f"""
     SELECT d.*, s.source_size, s.target,
       CASE WHEN source_size > 0 THEN floor(target / source_size) + CASE WHEN
-        CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0
+        CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), ':' || coalesce(text, ''))), 1, 13) AS BIGINT) / 4503599627370496.0
         < target / source_size - floor(target / source_size) THEN 1 ELSE 0 END ELSE 0 END::BIGINT AS copies
     FROM (SELECT *, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM {documents}) d
     JOIN (
