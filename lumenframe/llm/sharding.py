@@ -1,21 +1,25 @@
 """Sharding by fixed virtual slots: rows hash into slots, slots are dealt to shards by a versioned map.
 
-The law is ``bytes``: the map gives whole slots to shards by their measured bytes. Edge cases: a null
-text has 16 bytes and the checksum of no bytes; a row without doc_id is hashed by its text; repeated rows share
-a slot and take places of their own; an empty table gives no rows; other columns are left out.
+The law is ``bytes``: the first map deals the slots evenly by number, the next one is edited by their
+measured bytes; each version is written once to the shared folder and read from there. Rows are hashed by
+doc_id and text, so that rows of one doc_id, or of none, spread. Edge cases: a null text has 16 bytes and
+the checksum of no bytes; rows that repeat both share a slot and take places of their own; an empty table
+gives no rows (and needs no edit); other columns are left out.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stage, table
+from .common import shared_dir, stage, table
 
 SLOTS = 4096
 
@@ -89,18 +93,26 @@ class SlotMap:
         return cls(x["shards"], x["owner"], x["version"], x["moved"])
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/v{self.version:06d}")
+        """Write this version; one that is there already raises, versions never change."""
+        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{path}/v{self.version:06d}")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, version: int) -> SlotMap:
-        return cls.from_json(spark.read.text(f"{path}/v{version:06d}").first()[0])
+    def load(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
+        """A version, or the latest that is there."""
+        found = spark.read.text(f"{path}/v*" if version is None else f"{path}/v{version:06d}").collect()
+        return max((cls.from_json(r[0]) for r in found), key=lambda m: m.version)
+
+    @classmethod
+    def even(cls, slots: int, shards: int) -> SlotMap:
+        """The first version of a store: slots dealt out by number, before any bytes are known."""
+        return cls(shards, [s % shards for s in range(slots)])
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot), narrow and staged: the texts are read once."""
     body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    out = docs.select("doc_id", (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot"))
+    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    out = docs.select(F.col("doc_id").cast("long"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot"))
     return stage(out, "slotted")
 
 
@@ -112,15 +124,34 @@ def slot_totals(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[in
     return sizes, counts
 
 
-def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, slot_map: SlotMap | None = None) -> DataFrame:
-    """Rows with their virtual slot, shard and gapless place in the shard.
-
-    A place is the rows of the shard's earlier slots plus the rank within the own slot, so no window
+def placed(spark: SparkSession, path: str | None, shards: int, sizes: list[int], tolerance: float) -> SlotMap:
+    """The map in force: the store's latest, edited and stored if it needs that."""
+    store = path or f"{shared_dir(spark)}/lumenframe/slot-map-{uuid.uuid4().hex}"
+    try:
+        m = SlotMap.load(spark, store)
+    except AnalysisException:  # nothing is there yet
+        m = SlotMap.even(len(sizes), shards)
+        m.save(spark, store)
+    if m.shards != shards or len(m.owner) != len(sizes):
+        raise ValueError(f"the map in {store} has {m.shards} shards and {len(m.owner)} slots")
+    edited = m.rebalanced(sizes, tolerance)
+    if not edited.moved:
+        return m
+    edited.save(spark, store)
+    return SlotMap.load(spark, store)
+
+
+def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, path: str | None = None, tolerance: float = 0.001) -> DataFrame:
+    """Rows with their virtual slot, shard, gapless place in the shard and the version of the map.
+
+    ``path`` is the store of the map: its latest version, or the first one where there is none (None: a
+    store of this call's own), is edited by the slots' bytes if they have gone further apart than
+    ``tolerance`` of the mean, and the edit is stored as the next version. A place is the rows of the shard's earlier slots plus the rank within the own slot, so no window
     is larger than a slot.
     """
     rows = slotted(docs, slots)
     sizes, counts = slot_totals(rows, slots)
-    m = slot_map or SlotMap.balanced(sizes, shards)
+    m = placed(rows.sparkSession, path, shards, sizes, tolerance)
     first, used = [], [0] * m.shards
     for slot, owner in enumerate(m.owner):
         first.append(used[owner])
@@ -135,4 +166,4 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, slot_map: SlotM
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
