@@ -7,7 +7,7 @@ as later ones. Features: words and their 5-grams, hashed, counted over a text's
 Training takes at most ``SAMPLE`` labelled rows, chosen by hash; scoring reads every whole text. Edge
 cases: a null text is empty; an empty text has the features of none; a category without both classes
 in the sample gets its base rate (0 without labels) for all; equal texts get equal scores; rows keep
-their other columns; an empty table gives no rows.
+their other columns, but for one named ``_p``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -166,6 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """``docs`` and, last, an array ``_p`` of the chain's probabilities; the text is read whole."""
     arrow_limits(docs.sparkSession)
+    docs = docs.drop("_p")
     used = np.unique(np.concatenate([m.chosen for m in chain.models] or [np.empty(0, np.uint32)]))
     wanted = set(used.tolist())
     schema = widened(docs, "_p array<double>")
