@@ -8,10 +8,11 @@ taken in a normal form first (e-mail in lower case, telephone numbers as digits)
 one entity correspond. Each permutation stays in its own strings: words that are no listed name walk on
 past listed ones, secrets past those of hexadecimal digits, and what tells the kind of a number stays. So
 no two entities of a kind share a surrogate, under any key; ``checked_key`` makes sure of it over all the
-corpus's distinct entities, as written.
+corpus's distinct entities, as written. A surname that a text gives with a title or a given name is
+replaced wherever the text has it by itself, and keeps the ending that tells its gender.
 
 Edge cases: null and empty texts stay as they are; texts of any length are searched whole; repeated
-rows get equal texts; rows keep their other columns; an empty table gives no rows.
+rows get equal texts; rows keep their other columns, but for one named ``_kinds``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ PATTERN = re.compile(
 )
 TITLED = re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?[ ]+(?P<name>[^\W\d_a-zа-яё]\w+(?:[ ]+[^\W\d_a-zа-яё]\w+)?)")
 _GIVEN = re.compile(rf"(?:{'|'.join(sorted(_LISTED, key=len, reverse=True))})\b")
+#: Endings of Cyrillic surnames that differ by gender.
+_ENDINGS = re.compile(r"(?<=[а-яё]{2})(?:ова|ева|ёва|ина|ына|ская|цкая|ов|ев|ёв|ин|ын|ский|цкий)\Z")
 _SURNAME = re.compile(r"[ ]+[^\W\d_a-zа-яё]\w+")
 #: Calling codes of one and of two digits; the others have three.
 _CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3}")
@@ -236,10 +239,27 @@ def surrogate(p: Permutation, kind: str, text: str) -> str:
             key, i = _LISTED[word]
             words.append(NAMES[key][p(i, len(NAMES[key]), f"name|{key}")])
         else:
-            words.append(_walked(p, word, "surname", _LISTED.__contains__))
+            words.append(_surname(p, word))
     return " ".join(words)
 
 
+def _ending(word: str) -> str:
+    """What tells the gender of a surname, or nothing."""
+    return m[0] if (m := _ENDINGS.search(word)) else ""
+
+
+def _surname(p: Permutation, word: str) -> str:
+    """Another word of its shape and, if it has one, with its ending; no listed name."""
+    end = _ending(word)
+    other = lambda x: x in _LISTED or _ending(x) != end
+    if not end:
+        return _walked(p, word, "surname", other)
+    stem = word[: -len(end)]
+    letters = [_CLASSES[_CLASS_OF[c.lower()][0]] if c.lower() in _CLASS_OF else (c,) for c in stem]
+    sets = [tuple(x.upper() for x in s) if c.isupper() and len(s) > 1 else s for c, s in zip(stem, letters)]
+    return _walked(p, word, f"surname|{end}", other, [*sets, *((c,) for c in end)])
+
+
 def _iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
@@ -278,16 +298,29 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         at = e.end() if (e := _SURNAME.match(text, b)) else b
         names.append((a, at, f"name|{_LISTED[m[0]][0][0]}", text[a:at]))
     if names:
-        taken, k = [(a, b) for a, b, *_ in found], 0
+        names += _mentions(text, names)
+        taken, k, last = [(a, b) for a, b, *_ in found], 0, 0
         for x in sorted(names):
             while k < len(taken) and taken[k][1] <= x[0]:
                 k += 1
-            if k == len(taken) or taken[k][0] >= x[1]:
+            if (k == len(taken) or taken[k][0] >= x[1]) and x[0] >= last:
                 found.append(x)
+                last = x[1]
         found.sort()
     return found
 
 
+def _mentions(text: str, names: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Where the unlisted words of the found names stand by themselves: they are the same persons."""
+    words = {w: kind for *_, kind, x in names for w in x.split(" ") if len(w) > 2 and w not in _LISTED}
+    if not words:
+        return []
+    # the longest first, at both ends of words; names are few, the text is read once
+    each = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(words, key=lambda w: (-len(w), w))))})(?!\w)")
+    at = {k for a, b, *_ in names for k in range(a, b)}
+    return [(*m.span(), words[m[0]], m[0]) for m in each.finditer(text) if m.start() not in at]
+
+
 def pseudonymise(p: Permutation, text: str) -> tuple[str, list[str]]:
     """The text with surrogates, and the kinds of what was replaced, in order."""
     out, at, kinds = [], 0, []
@@ -333,6 +366,7 @@ def checked_key(docs: DataFrame, key: str = KEY) -> str:
 def redact(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``_kinds``, the kinds replaced."""
     arrow_limits(docs.sparkSession)
+    docs = docs.drop("_kinds")
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
