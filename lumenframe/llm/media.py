@@ -1,7 +1,10 @@
 """Media columns: Netpbm and BMP codecs, area resizing by integral images, NPY tiles, difference hashes.
 
-Edge cases: a null payload is empty and padded to 64 zero bytes; equal payloads give equal values;
-any length is taken whole, with row blocks bounding the resizer's working memory.
+Edge cases: a null text is empty and padded to 64 zero bytes; equal payloads give equal values; any length
+is taken whole, with row blocks bounding the resizer's working memory; a null image has null results; one
+that can't be read, or has no pixels, has null results and a reason in ``_error``; samples are scaled by the
+largest value that their format allows, so white is 255 in every tile; input columns named as added ones
+give way to them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ def encode_pgm(image: np.ndarray) -> bytes:
 _FIELD = re.compile(rb"(?:\s|#[^\n]*\n)*(\d+)")
 
 
-def decode_netpbm(data: bytes) -> np.ndarray:
-    """P1 to P6, plain and binary, of up to 16 bits a sample."""
+def decode_netpbm(data: bytes) -> tuple[np.ndarray, int]:
+    """P1 to P6, plain and binary, of up to 16 bits a sample; and the largest value a sample may have."""
     kind = data[:2]
     if kind not in (b"P1", b"P2", b"P3", b"P4", b"P5", b"P6"):
         raise ValueError("not a Netpbm image")
@@ -44,17 +47,22 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         fields.append(int(m[1]))
         at = m.end()
     width, height, top = *fields[:2], (fields + [1])[2]
+    if not 0 < top < 65536:
+        raise ValueError(f"a Netpbm image of samples up to {top}")
     shape = (height, width, 3) if kind in (b"P3", b"P6") else (height, width)
     n = int(np.prod(shape))
     if kind in (b"P2", b"P3"):
-        return np.array(re.sub(rb"#[^\n]*", b"", data[at:]).split()[:n], np.uint16 if top > 255 else np.uint8).reshape(shape)
+        return np.array(re.sub(rb"#[^\n]*", b"", data[at:]).split()[:n], np.uint16 if top > 255 else np.uint8).reshape(shape), top
     if kind == b"P1":
-        return 1 - np.frombuffer(re.sub(rb"#[^\n]*|\s", b"", data[at:])[:n], np.uint8).reshape(shape) + 48
+        bits = np.frombuffer(re.sub(rb"#[^\n]*|\s", b"", data[at:])[:n], np.uint8).reshape(shape) - 48
+        if (bits > 1).any():
+            raise ValueError("a bitmap of other digits than 0 and 1")
+        return 1 - bits, 1
     at += 1
     if kind == b"P4":
         rows = np.frombuffer(data, np.uint8, (width + 7) // 8 * height, at).reshape(height, -1)
-        return 1 - np.unpackbits(rows, axis=1)[:, :width]
-    return np.frombuffer(data, ">u2" if top > 255 else np.uint8, n, at).reshape(shape)
+        return 1 - np.unpackbits(rows, axis=1)[:, :width], 1
+    return np.frombuffer(data, ">u2" if top > 255 else np.uint8, n, at).reshape(shape), top
 
 
 def encode_bmp(image: np.ndarray) -> bytes:
@@ -90,8 +98,19 @@ def decode_bmp(data: bytes) -> np.ndarray:
     return pixels[:, :, 0] if (palette == palette[:, :1]).all() else pixels
 
 
+def decode_scaled(data: bytes) -> tuple[np.ndarray, int]:
+    """The samples, and the largest value that one may have; what can't be read raises ValueError."""
+    try:
+        image, top = (decode_bmp(data), 255) if data[:2] == b"BM" else decode_netpbm(data)
+    except (IndexError, struct.error, OverflowError, ZeroDivisionError) as e:
+        raise ValueError(f"not a whole image: {e}") from e
+    if not image.size:
+        raise ValueError("an image without pixels")
+    return image, top
+
+
 def decode(data: bytes) -> np.ndarray:
-    return decode_bmp(data) if data[:2] == b"BM" else decode_netpbm(data)
+    return decode_scaled(data)[0]
 
 
 def _at(integral: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -130,10 +149,11 @@ def npy(image: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def tile(image: np.ndarray, side: int = TILE) -> bytes:
-    """The image as a square NPY tile of bytes."""
+def tile(image: np.ndarray, top: int = 255, side: int = TILE) -> bytes:
+    """The image, of samples up to ``top``, as a square NPY tile of bytes."""
     grey = image if image.ndim == 2 else image.astype(float).mean(axis=2)
-    return npy(np.clip(np.round(area_resize(grey, side, side), 6) + 0.5, 0, 255).astype(np.uint8))
+    small = area_resize(grey, side, side) * (255 / top) if top != 255 else area_resize(grey, side, side)
+    return npy(np.clip(np.round(small, 6) + 0.5, 0, 255).astype(np.uint8))
 
 
 def pad(payload: bytes) -> bytes:
@@ -147,8 +167,9 @@ def store(payload: bytes, container: str = "pgm") -> bytes:
 
 
 def media_columns(df: DataFrame, column: str = "media") -> DataFrame:
-    """Add ``_pixels`` (the decoded samples), ``_tile`` (NPY) and ``_hash`` to frames with encoded images."""
+    """Add ``_pixels`` (the decoded samples), ``_tile`` (NPY), ``_hash`` and ``_error`` to frames with encoded images."""
     arrow_limits(df.sparkSession)
+    df = df.drop("_pixels", "_tile", "_hash", "_error")
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,14 +177,19 @@ def media_columns(df: DataFrame, column: str = "media") -> DataFrame:
             found = []
             for x in batch.column(at).to_pylist():
                 if x is None:
-                    found.append((None, None, None))
+                    found.append((None, None, None, None))
+                    continue
+                try:
+                    image, top = decode_scaled(x)
+                except ValueError as e:
+                    found.append((None, None, None, str(e)))
                     continue
-                image = decode(x)
                 grey = image if image.ndim == 2 else image.astype(float).mean(axis=2)
-                found.append((np.ascontiguousarray(image).tobytes(), tile(image), difference_hash(grey)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.string())], names=[*batch.schema.names, "_pixels", "_tile", "_hash"])
+                found.append((np.ascontiguousarray(image).tobytes(), tile(image, top), difference_hash(grey), None))
+            added = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "_pixels", "_tile", "_hash", "_error"])
 
-    return df.mapInArrow(run, widened(df, "_pixels binary, _tile binary, _hash string"))
+    return df.mapInArrow(run, widened(df, "_pixels binary, _tile binary, _hash string, _error string"))
 
 
 def stored(docs: DataFrame, container: str = "pgm") -> DataFrame:
