@@ -88,6 +88,11 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def packed(m: np.ndarray) -> np.ndarray:
+    """The low bits of the minima, mixed once more: unmixed ones depend on the low bits of the sets alone,
+    so that a shingle would collide with another in all lanes or in none."""
+    m = (m ^ (m >> np.uint32(16))) * np.uint32(0x7FEB352D)
+    m = (m ^ (m >> np.uint32(15))) * np.uint32(0x846CA68B)
+    m ^= m >> np.uint32(16)
     return np.bitwise_or.reduce((m & np.uint32(2**LOW - 1)).astype(np.uint64).reshape(LONGS, LANES) << _SHIFTS, axis=1)
 
 
@@ -312,7 +317,10 @@ def link(docs: DataFrame) -> DataFrame:
     cells = _cells(_dealt(inside.join(texts, "node"), F.col("b"))).select("sc", "i", "j", "block", "node", "sig", "text")
     linked = components(stage(_grouped(cells, "sc", _confirm), "links"))
 
-    out = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(linked, "node", "left")
+    # rows without words, or without doc_id, aren't joined: as null keys they would meet in one task
+    out = named.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest").join(linked, "node", "left")
+    alone = signed.where("doc_id IS NULL OR digest IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("root"))
+    out = out.select("doc_id", "n_shingles", "node", "root").unionByName(alone)
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
