@@ -2,8 +2,10 @@
 
 Only built-in functions run on the rows. Text of code points that normalisation leaves alone passes
 straight; words with others are decomposed (compatibility), their marks put in canonical order, and
-composed again by lookups in maps drawn from the Unicode database. Hangul syllables stay as they are
-and conjoining jamo aren't composed.
+composed again by lookups in maps drawn from the Unicode database, Hangul by arithmetic.
+
+Rows of equal digests make a bucket, and texts are compared byte by byte inside buckets of several rows.
+``group`` is the least doc_id of a row's text, null if none of its rows has one.
 
 Edge cases: a null text is empty; texts under three code points are their own edited text; among
 repeated doc_ids the lesser text comes first; a null doc_id comes after all others; a table of one row
@@ -21,11 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sized, stage, table
 
 LEAST = -(1 << 63)
 #: Bytes of text of one key range, and ranges at most.
-RANGE_BYTES, RANGES = 16 << 20, 4096
+RANGE_BYTES, RANGES = 16 << 20, 1 << 16
+#: Cuts of ranges that one look goes through, of which two find a range.
+LOOK = 256
 _PAIR, _NEXT = "\x01", "\x02"
 
 
@@ -61,6 +65,24 @@ def _unicode() -> tuple[str, str, str, str]:
     return ranges, *(_NEXT.join(f"{k}{_PAIR}{v}" for k, v in m.items()) for m in (parts, classes, pairs))
 
 
+def _odd(text) -> F.Column:
+    """Whether normalisation may change a text. Java reads a class of up to two ranges some twenty times
+    faster than a longer one, so the first two decide about most texts."""
+    inert = _unicode()[0]
+    few = "".join(inert.split("\\x")[:5]).replace("{", "\\x{")
+    return text.rlike(f"[^{few}]") & text.rlike(f"[^{inert}]")
+
+
+def _syllable(a, b) -> F.Column:
+    """The Hangul syllable that two characters make, or null."""
+    x, y = F.ascii(a), F.ascii(b)
+    two = F.when(x.between(0x1100, 0x1112) & y.between(0x1161, 0x1175), 0xAC00 + ((x - 0x1100) * 21 + y - 0x1161) * 28)
+    code = two.when(x.between(0xAC00, 0xD7A3) & (F.pmod(x - 0xAC00, F.lit(28)) == 0) & y.between(0x11A8, 0x11C2), x + y - 0x11A7)
+    # three bytes of UTF-8
+    raw = F.lit(0xE08080) + F.floor(code / 4096) * 65536 + F.pmod(F.floor(code / 64), F.lit(64)) * 256 + F.pmod(code, F.lit(64))
+    return F.decode(F.unhex(F.hex(raw.cast("long"))), "UTF-8")
+
+
 def _lookup(text: str) -> F.Column:
     return F.str_to_map(F.lit(text), F.lit(_NEXT), F.lit(_PAIR))
 
@@ -80,7 +102,7 @@ def _normal_word(word) -> F.Column:
     )
 
     def step(s, x):
-        made = F.try_element_at(pair, F.concat(s.starter, x.c))
+        made = F.coalesce(F.try_element_at(pair, F.concat(s.starter, x.c)), _syllable(s.starter, x.c))
         joins = made.isNotNull() & F.when(x.k > 0, s.last < x.k).otherwise((s.rest == "") & (s.starter != ""))
         state = lambda done, starter, rest, last: F.struct(done.alias("done"), starter.alias("starter"), rest.alias("rest"), last.alias("last"))
         kept = F.when(x.k > 0, state(s.done, s.starter, F.concat(s.rest, x.c), x.k)).otherwise(state(F.concat(s.done, s.starter, s.rest), x.c, F.lit(""), F.lit(0)))
@@ -92,9 +114,8 @@ def _normal_word(word) -> F.Column:
 def canonical(text) -> F.Column:
     """A text normalised (NFKC), case folded, with white space as single spaces and none at the ends."""
     text = F.coalesce(text, F.lit(""))
-    odd = f"[^{_unicode()[0]}]"
-    normal = F.when(~text.rlike(odd), text).otherwise(F.array_join(F.transform(F.split(text, " "), lambda w: F.when(w.rlike(odd), _normal_word(w)).otherwise(w)), " "))
-    folded = F.translate(F.lower(F.upper(normal)), "ς", "σ")
+    normal = F.when(~_odd(text), text).otherwise(F.array_join(F.transform(F.split(text, " "), lambda w: F.when(_odd(w), _normal_word(w)).otherwise(w)), " "))
+    folded = F.replace(F.lower(F.upper(normal)), F.lit("ς"), F.lit("σ"))
     return F.trim(F.regexp_replace(folded, r"[\s\p{Z}\x{85}]+", " "))
 
 
@@ -104,17 +125,41 @@ def digest(canon) -> F.Column:
     return F.concat(half(F.xxhash64(canon)), half(F.xxhash64(F.lit("wide"), canon)))
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, group): equal canonical texts share the least doc_id of theirs.
+def _identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, canon, fp) of the rows of ``docs``."""
+    return docs.select("doc_id", canonical(F.col("text")).alias("canon")).withColumn("fp", digest(F.col("canon")))
+
 
-    Buckets of equal digests are compared by bytes: rows that differ from their bucket's first text
-    make groups of their own.
+def classes(docs: DataFrame, fps: DataFrame) -> DataFrame:
+    """(fp, variant, group) of the buckets of several rows: a row for each text of the bucket.
+
+    ``fps`` are the staged digests of ``docs``, one a row. Texts are grouped by their bytes, with partial
+    aggregation, so of a hot bucket each task sends a text once; texts of single rows aren't sent if the
+    buckets' table is small enough for a broadcast. ``variant`` is the text's SHA-256.
     """
-    d = docs.select("doc_id", canonical(F.col("text")).alias("canon")).withColumn("fp", digest(F.col("canon")))
-    first = d.groupBy("fp").agg(F.min("canon").alias("first"))
-    split = d.join(first, "fp").select("doc_id", "fp", F.when(F.col("canon") == F.col("first"), "").otherwise(F.sha2("canon", 512)).alias("variant"))
-    least = split.groupBy("fp", "variant").agg(F.min("doc_id").alias("group"))
-    return split.join(least, ["fp", "variant"]).select("doc_id", "group")
+    several = stage(fps.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"), "buckets")
+    d = _identified(docs)
+    if (small := sized(several, "fp")) is not None:
+        d = d.join(small, "fp", "left_semi")
+    found = d.groupBy("fp", "canon").agg(F.min("doc_id").alias("group"))
+    return stage(found.select("fp", F.sha2("canon", 256).alias("variant"), "group"), "classes")
+
+
+def with_group(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, fp, variant, ...) with ``group``; a hot text's rows are dealt to many tasks."""
+    if (small := sized(found, "fp", "variant")) is not None:
+        out = rows.join(small, ["fp", "variant"], "left")
+    else:
+        salts = 64
+        out = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+        out = out.join(found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["fp", "variant", "salt"], "left").drop("salt")
+    return out.withColumn("group", F.coalesce("group", "doc_id"))
+
+
+def exact_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, group): equal canonical texts share the least doc_id of theirs."""
+    rows = stage(_identified(docs).select("doc_id", "fp", F.sha2("canon", 256).alias("variant")), "digests")
+    return with_group(rows, classes(docs, rows.select("fp"))).select("doc_id", "group")
 
 
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -127,10 +172,12 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     d = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)))
     size, top = d.agg(F.sum(F.octet_length("text")), F.max("_key")).first()
     n = min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((size or 0) / RANGE_BYTES)))
-    cuts = d.agg(F.percentile_approx("_key", [i / n for i in range(1, n)] or [0.5], 10 * RANGES)).first()[0] if top is not None else None
+    cuts = d.agg(F.percentile_approx("_key", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] if top is not None else None
     cuts = sorted({*(cuts or []), top} - {None}) or [0]
     ends = F.lit(cuts).cast("array<long>")
-    at = F.size(F.filter(ends, lambda e: e < F.col("_key")))
+    # the look-up goes through every LOOK-th cut, then through the cuts after the last one below
+    coarse = F.size(F.filter(F.lit(cuts[LOOK - 1 :: LOOK]).cast("array<long>"), lambda e: e < F.col("_key"))) * LOOK
+    at = coarse + F.size(F.filter(F.slice(ends, coarse + 1, F.lit(LOOK)), lambda e: e < F.col("_key")))
     home = lambda r, g: F.struct(r.cast("int").alias("r"), F.lit(g).alias("g"))
     none = F.expr("cast(array() AS array<struct<r:int,g:int>>)")
     d = d.withColumn("_at", at)
@@ -144,12 +191,15 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    d = docs.withColumn("canon", canonical(F.col("text"))).withColumn("fingerprint", digest(F.col("canon"))).drop("canon")
-    d = with_next(d, ["text", "fingerprint"]).withColumn("n_chars", F.length("text").cast("long"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    d = docs.withColumn("canon", canonical(F.col("text"))).withColumns({"fp": digest(F.col("canon")), "variant": F.sha2("canon", 256)}).drop("canon")
+    d = with_next(d, ["text", "fp"]).withColumn("n_chars", F.length("text").cast("long"))
     tail = F.expr("cast(n_chars div 3 AS int)")
     d = d.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - tail).cast("int")), F.substring(F.col("_next.text"), F.lit(1), tail)))
-    d = d.withColumn("edited_canon", canonical(F.col("edited"))).withColumn("edited_fingerprint", digest(F.col("edited_canon")))
+    # in a lambda, the edited text is put together once, not once a use
+    d = d.withColumn("edited_canon", F.get(F.transform(F.array("edited"), canonical), F.lit(0))).withColumn("edited_fingerprint", digest(F.col("edited_canon")))
     # equal digests are confirmed byte by byte; unequal ones need no second look
-    same = lambda fp, canon: F.when(F.col("fingerprint") == fp, (canonical(F.col("text")) == canon).cast("double")).otherwise(F.lit(0.0))
-    return d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", same(F.col("edited_fingerprint"), F.col("edited_canon")).alias("near_edited"), same(F.col("_next.fingerprint"), canonical(F.col("_next.text"))).alias("near_next"))
+    same = lambda fp, canon: F.when(F.col("fp") == fp, (canonical(F.col("text")) == canon).cast("double")).otherwise(F.lit(0.0))
+    narrow = stage(d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "variant", "edited_fingerprint", same(F.col("edited_fingerprint"), F.col("edited_canon")).alias("near_edited"), same(F.col("_next.fp"), canonical(F.col("_next.text"))).alias("near_next")), "fingerprints")
+    out = with_group(narrow, classes(docs, narrow.select("fp")))
+    return out.select("doc_id", "n_chars", "edited_sha256", F.col("fp").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", F.col("group").alias("exact_group"))
