@@ -1,25 +1,33 @@
 """HTML extraction by wrapper induction.
 
-The text blocks of all pages of a host that could be content are named by their path of labels and
-their text, and counted over the distinct articles of the host, and of each of its layouts (skeletons of
-containers): copies of an article, whatever their urls, navigation or adverts, are one. What has the
-same path and text on most articles of the host or of one of its layouts is template, in all the host's
-pages; the others are slots. Slots inside the article (or, without one, slots of prose) are content; parts that
-their element, class or id names as navigation, adverts, comments and the like never are.
+1. The trees of containers of a host's pages are aligned, layout by layout, by simple tree matching: first
+   in each task, then the tasks' trees with each other. The aligned nodes tell which text is constant over
+   the distinct articles and which varies, and the innermost node that holds most of what varies is the
+   layout's region of content.
+2. Text blocks are named by their path of labels and their text, and counted over the distinct articles of
+   the host, and of each layout: copies of an article, whatever their urls, navigation or adverts, are one.
+   What has the same path and text on most articles is template, in all the host's pages.
+3. A page is aligned with its layout's tree. Slots (blocks that are no template) in the node that matches
+   the region are content; where an element named as article stands around or inside that node, its bounds
+   are taken. Without a wrapper, slots inside a named article are, or else slots of prose. Parts that their
+   element, class or id names as navigation, adverts, comments and the like never are.
 
 Edge cases: a null, empty or text-less page gives the empty text and is no evidence; broken markup
 (unclosed elements, a page that breaks off inside a tag) is read as far as it goes; a host with fewer
-than three articles has no template; a null url is a host of its own, the empty one; other columns are
+than three articles has no template, and a layout of fewer no region; repeated pages count once and are
+extracted each; a null page_id is kept; an empty table gives no rows; a null url is a host of its own, the empty one; other columns are
 left out. Articles of which a template would leave under a tenth are taken for versions of one.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +39,11 @@ from .common import arrow_limits, sized, stage, table
 SHARE, PAGES = 0.8, 3
 #: Articles with less than this share of their characters outside the template count as one.
 LEFT = 0.1
-SKIPPED = frozenset("script style noscript template svg head title iframe object canvas math select option textarea button".split())
+#: The region of content holds this share of the varying text of each node around it.
+REGION = 0.7
+#: Wrappers and articles that a task remembers before it lets go of them.
+WRAPPERS, ARTICLES = 2_000, 100_000
+SKIPPED = frozenset("script style noscript template svg head title iframe object canvas select option textarea button".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 BLOCKS = frozenset("html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article main header footer nav aside form fieldset blockquote pre figure figcaption address details summary hr dialog menu center".split())
 #: Blocks of text, which differ between the articles of one layout.
@@ -278,9 +290,12 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return out
 
 
-def slots(root: Node) -> list[tuple[Node, str]]:
-    """(node, text) of the runs of text that are content unless template, in page order."""
-    chosen = _articles(root)
+def slots(root: Node, region: int | None = None) -> list[tuple[Node, str]]:
+    """(node, text) of the runs of text that are content unless template, in page order.
+
+    ``region`` is the number of the node in which they are looked for, if a wrapper tells.
+    """
+    chosen = _articles(root) if region is None else _bounds(root, region)
     lines: list[tuple[Node, str]] = []
     # (node, or a text run with its node; whether inside the article)
     todo: list[tuple[object, bool]] = [(root, not chosen)]
@@ -374,21 +389,156 @@ def _articles(root: Node) -> set[int]:
     return found["article"] or found["main"] or found["named"]
 
 
-def host(url) -> F.Column:
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
-    return F.lower(F.regexp_extract(F.coalesce(rest, F.lit("")), r"^([^/?#]*)", 1))
+def _bounds(root: Node, region: int) -> set[int]:
+    """The region, or the named articles around it, or those inside it."""
+    named, around, inside = _articles(root), set(), set()
+    todo: list[tuple[Node, tuple[int, ...], bool]] = [(root, (), False)]
+    while todo:
+        n, above, within = todo.pop()
+        if n.number == region:
+            around, within = named & {*above, n.number}, True
+        elif within and n.number in named:
+            inside.add(n.number)
+        todo += [(c, (*above, n.number), within) for c in n.children]
+    return around or inside or {region}
 
 
-def _beside(rows: DataFrame, small: DataFrame, on: list[str], how: str, *wide: str) -> DataFrame:
-    """A join with a broadcast if ``small`` is small, else a shuffled one that splits hot hosts."""
-    held = sized(small, *wide)
-    return rows.join(held if held is not None else small, on, how)
+# wrappers: trees of containers
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, layout, article, block, size): hash and characters of each block of each page, once a batch."""
+@dataclass
+class Held:
+    """What the pages aligned at a container hold in it: pages, those with text of its own, characters, and
+    the text (as a hash) that most of them seem to have, with their number."""
+
+    pages: int = 0
+    texts: int = 0
+    chars: int = 0
+    text: int = 0
+    same: int = 0
+
+    def add(self, o: Held) -> None:
+        self.pages, self.texts, self.chars = self.pages + o.pages, self.texts + o.texts, self.chars + o.chars
+        if o.text == self.text:
+            self.same += o.same
+        elif o.same > self.same:
+            self.text, self.same = o.text, o.same
+
+    def varying(self) -> int:
+        """Characters, unless most pages have the same."""
+        return 0 if self.texts >= PAGES and self.same >= SHARE * self.texts else self.chars
+
+
+def containers(root: Node) -> tuple[Node, list[Held], list[int]]:
+    """The tree of containers (blocks other than prose, that aren't out), what each holds, and its number in
+    the page. Text of prose counts for the container around it; lists of links count for nothing."""
+    top = Node(root.tag, root.label)
+    words: dict[int, list[str]] = {id(top): []}
+    kinds: dict[int, str] = {id(top): ""}
+    number = {id(top): root.number}
+    todo: list[tuple[Node, Node]] = [(root, top)]
+    while todo:
+        n, at = todo.pop()
+        for c in n.children:
+            if c.out:
+                continue
+            if c.tag in PROSE:
+                kind = "l" if c.tag in ("ul", "ol", "li", "dl", "dt", "dd") else "p"
+                kinds[id(at)] = max(kinds[id(at)], kind)
+                todo.append((c, at))
+            else:
+                new = Node(c.tag, c.label)
+                words[id(new)], kinds[id(new)], number[id(new)] = [], "", c.number
+                at.parts.append(new)
+                todo.append((c, new))
+        text = "".join(p if isinstance(p, str) else " " for p in n.parts).strip()
+        if text and not _linky(n, text):
+            words[id(at)].append(" ".join(text.split()))
+    every = list(_walk(top))
+    for n in every:
+        # containers of prose, of lists and of neither don't match each other
+        n.label += f"|{kinds[id(n)]}"
+    _finish(top)
+    held = []
+    for n in every:
+        found = sorted(words[id(n)])
+        size = sum(map(len, found))
+        held.append(Held(1, int(size > 0), size, _hash(*found) if size else 0, int(size > 0)))
+    return top, held, [number[id(n)] for n in every]
+
+
+class Wrapper:
+    """The tree of a layout and what its pages hold by its nodes."""
+
+    def __init__(self, tree: Node, held: list[Held]):
+        self.tree, self.held = tree, held
+
+    def add(self, tree: Node, held: list[Held]) -> None:
+        for a, b in align(self.tree, tree):
+            self.held[a.number].add(held[b.number])
+
+    def region(self) -> int | None:
+        """Number of the node of the layout's content, if enough pages tell."""
+        if self.held[0].pages < PAGES:
+            return None
+        mass = [h.varying() for h in self.held]
+        below = dict(enumerate(mass))
+        for n in reversed(list(_walk(self.tree))):
+            below[n.number] += sum(below[c.number] for c in n.children)
+        n = self.tree
+        while n.children and below[n.number]:
+            h = self.held[n.number]
+            # text of its own on most pages, as a heading beside its article: these are the bounds
+            if h.texts >= h.pages / 2 and mass[n.number]:
+                break
+            best = max(n.children, key=lambda c: below[c.number])
+            if below[best.number] < REGION * below[n.number]:
+                break
+            n = best
+        return n.number if below[n.number] and n.tag not in ("#", "html", "body") else None
+
+    def to_json(self) -> str:
+        depth, rows, todo = 0, [], [(self.tree, 0)]
+        while todo:
+            n, depth = todo.pop()
+            h = self.held[n.number]
+            rows.append([depth, n.tag, n.label, h.pages, h.texts, h.chars, h.text, h.same])
+            todo += [(c, depth + 1) for c in reversed(n.children)]
+        return json.dumps(rows, ensure_ascii=False, separators=(",", ":"))
+
+    @classmethod
+    def from_json(cls, text: str) -> Wrapper:
+        held, path = [], []
+        for depth, tag, label, *counts in json.loads(text):
+            n = Node(tag, label)
+            held.append(Held(*counts))
+            del path[depth:]
+            if path:
+                path[-1].parts.append(n)
+            path.append(n)
+        _finish(path[0])
+        return cls(path[0], held)
+
+
+_NAMED = ["host", "layout", "article", "block", "size", "wrapper"]
+_KINDS = (pa.string(), *[pa.int64()] * 4, pa.string())
+
+
+def _induced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_blocks`` finds in each page, and the wrappers (host, layout, wrapper) of all pages of a task."""
+    known: dict[tuple[str, int], tuple[Wrapper, set[int]]] = {}
+    remembered = 0
+
+    def rows(blocks: set[tuple]) -> pa.RecordBatch:
+        every = [(*b, None) for b in blocks]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in every], t) for i, t in enumerate(_KINDS)], names=_NAMED)
+
+    def wrappers_of() -> pa.RecordBatch:
+        every = [(h, k, None, None, None, w.to_json()) for (h, k), (w, _) in known.items()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in every], t) for i, t in enumerate(_KINDS)], names=_NAMED)
+
     for batch in batches:
-        rows = set()
+        blocks = set()
         for name, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             root = parse(page)
             if not (found := slots(root)):
@@ -396,8 +546,43 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             frame, article, key, size = layout(root), _hash(content(found, set())), keys(root, found), {}
             for n, t in found:
                 size[key[n.number]] = size.get(key[n.number], 0) + len(t)
-            rows |= {(name, frame, article, k, v) for k, v in size.items()}
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), *[pa.int64()] * 4))], names=["host", "layout", "article", "block", "size"])
+            blocks |= {(name, frame, article, k, v) for k, v in size.items()}
+            if (name, frame) not in known:
+                known[name, frame] = Wrapper(*containers(root)[:2]), {article}
+            elif article not in known[name, frame][1]:
+                wrapper, articles = known[name, frame]
+                wrapper.add(*containers(root)[:2])
+                articles.add(article)
+            else:
+                continue
+            remembered += 1
+        yield rows(blocks)
+        if len(known) > WRAPPERS or remembered > ARTICLES:
+            yield wrappers_of()
+            known.clear()
+            remembered = 0
+    yield wrappers_of()
+
+
+def _merged(group: pd.DataFrame) -> pd.DataFrame:
+    """The wrappers of one layout as one."""
+    texts = sorted(group["wrapper"], key=lambda t: (-len(t), t))
+    out = Wrapper.from_json(texts[0])
+    for t in texts[1:]:
+        other = Wrapper.from_json(t)
+        out.add(other.tree, other.held)
+    return pd.DataFrame({"host": group["host"].iloc[:1], "layout": group["layout"].iloc[:1], "wrapper": [out.to_json()], "region": pd.array([out.region()], "Int32")})
+
+
+def host(url) -> F.Column:
+    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
+    return F.lower(F.regexp_extract(F.coalesce(rest, F.lit("")), r"^([^/?#]*)", 1))
+
+
+def _beside(rows: DataFrame, small: DataFrame, on: list[str], how: str, *wide: str) -> DataFrame:
+    """A join with a broadcast if ``small`` is small, else a shuffled one that splits hot hosts."""
+    held = sized(small, *wide)
+    return rows.join(held if held is not None else small, on, how)
 
 
 def _constant(blocks: DataFrame, by: list[str]) -> DataFrame:
@@ -408,10 +593,17 @@ def _constant(blocks: DataFrame, by: list[str]) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, template): hashes of the template blocks of each host that has any."""
+    """(host, template, layouts): hashes of the template blocks of each host that has any, and its layouts
+    with a region as (layout, wrapper, region)."""
     arrow_limits(pages.sparkSession)
     by = ["host", "layout"]
-    found = pages.select("host", "html").mapInArrow(_blocks, "host string, layout long, article long, block long, size long")
+    induced = stage(pages.select("host", "html").mapInArrow(_induced, "host string, layout long, article long, block long, size long, wrapper string"), "induced")
+    # a hot layout's wrappers, one or a few a task, meet in two steps
+    schema = "host string, layout long, wrapper string, region int"
+    some = induced.where("wrapper IS NOT NULL").select(*by, "wrapper", F.pmod(F.xxhash64("wrapper"), F.lit(64)).alias("part"))
+    merged = some.groupBy(*by, "part").applyInPandas(_merged, schema).groupBy(*by).applyInPandas(_merged, schema)
+    layouts = merged.where("region IS NOT NULL").groupBy("host").agg(F.collect_list(F.struct("layout", "wrapper", "region")).alias("layouts"))
+    found = induced.where("wrapper IS NULL").drop("wrapper")
     # layout 0 is the whole host
     found = found.withColumn("layout", F.explode(F.array(F.lit(0).cast("long"), "layout")))
     blocks = stage(found.groupBy(*by, "article", "block").agg(F.max("size").alias("size")), "blocks")
@@ -426,15 +618,34 @@ def wrappers(pages: DataFrame) -> DataFrame:
             blocks = _beside(blocks, versions, [*by, "article"], "left", "host").select(*by, once.alias("article"), "block").distinct()
             constant = _constant(blocks, by)
     # as many entries a host as blocks that most of its articles share
-    return stage(constant.groupBy("host").agg(F.collect_set("block").alias("template")), "wrappers")
+    return stage(constant.groupBy("host").agg(F.collect_set("block").alias("template")).join(layouts, "host", "full"), "wrappers")
+
+
+_trees: dict[str, Node] = {}
+
+
+def located(root: Node, layouts: list[dict] | None) -> int | None:
+    """Number of the page's node that its layout's tree aligns with the region."""
+    if not layouts:
+        return None
+    own = layout(root)
+    for x in layouts:
+        if x["layout"] == own:
+            if x["wrapper"] not in _trees:
+                if len(_trees) > 500:
+                    _trees.clear()
+                _trees[x["wrapper"]] = Wrapper.from_json(x["wrapper"]).tree
+            tree, _, numbers = containers(root)
+            return next((numbers[b.number] for a, b in align(_trees[x["wrapper"]], tree) if a.number == x["region"]), None)
+    return None
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for page, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
+        for page, template, layouts in zip(*(batch.column(c).to_pylist() for c in ("html", "template", "layouts"))):
             root = parse(page)
-            found = slots(root)
+            found = slots(root, located(root, layouts))
             wanted = set(template or ())
             texts.append(content(found, {k for k, v in keys(root, found).items() if v in wanted} if wanted else set()))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
@@ -443,8 +654,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of pages (page_id, url, html)."""
     p = pages.select(F.col("page_id").cast("long"), "url", "html", host(F.col("url")).alias("host"))
-    found = _beside(p, wrappers(p), ["host"], "left", "host")
-    return found.select("page_id", "url", "html", "template").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    found = _beside(p, wrappers(p).withColumn("_wide", F.to_json("layouts")), ["host"], "left", "host", "_wide").drop("_wide")
+    return found.select("page_id", "url", "html", "template", "layouts").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
