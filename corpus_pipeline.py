@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages; each reads what the one before has written.
 
-Every stage but the last returns the columns of documents (doc_id, text, lang, source, n_chars).
-Documents without doc_id are never judged copies; rows that repeat a document wholly are one.
+Every stage but the last returns the columns of documents (doc_id, text, lang, source, n_chars), and any
+further ones as they are, whatever their names. Empty tables give no rows; texts are read whole; ties and
+null values have the results that the stages' operators define.
 """
 
 from __future__ import annotations
@@ -10,36 +11,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.llm import minhash, mixing, packing, pii, toxicity
-from lumenframe.llm.common import stage, table
+from lumenframe.llm.common import carry, stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't call toxic."""
+    """Documents that the classifier chain doesn't call toxic.
+
+    A null text is judged as an empty one; without labels of both classes none is called toxic; repeated
+    rows are judged alike and stay repeated; a null doc_id takes no part in training.
+    """
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     toxic = chain.names.index("toxic")
-    return toxicity.score(docs, chain).where(F.get("_p", F.lit(toxic)) < 0.5).select(*docs.columns)
+    return toxicity.score(carry(docs, "text"), chain).where(F.get("_p", F.lit(toxic)) < 0.5).select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least doc_id."""
+    """One document of each group of near duplicates, the one with the least doc_id.
+
+    Texts without words link with nothing and stay; rows without doc_id are never judged copies; rows that
+    repeat doc_id and text are one, those that repeat a kept doc_id with another text stay each.
+    """
     kept = minhash.link(docs.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"])
-    return one.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    one = carry(docs, "doc_id", "text").join(kept, "doc_id", "left_semi").select("_row", "doc_id", F.xxhash64("text").alias("_h"))
+    return one.dropDuplicates(["doc_id", "_h"]).select("_row.*").unionByName(docs.where("doc_id IS NULL"))
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data and secrets."""
-    out = pii.redact(docs, pii.checked_key(docs))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, with surrogates for personal data and secrets; null and empty texts stay as they are."""
+    out = pii.redact(carry(docs, "text"), pii.checked_key(docs))
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*(changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks."""
+    """Each document as often as its source's target asks; a null source is one of its own."""
     return mixing.emit(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens with their places in sequences."""
+    """Pieces of the documents' tokens with their places in sequences; a null text is one token."""
     out = packing.pack_documents(docs.select("doc_id", "text"))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
