@@ -6,7 +6,8 @@
    an estimate of 0.57 (five standard errors under 0.75) or more joins them. Buckets that still hold
    members of several groups are compared in full, in blocks.
 3. Each group of candidates is confirmed on the full shingle sets, in cells of bounded size, of which
-   each gives a spanning forest of its links, never all pairs.
+   each gives a spanning forest of its links, never all pairs. Groups larger than a block are first held
+   against a few hubs in one linear pass; rows that those link need no cells with each other.
 
 A pair at 0.75 is in no common bucket with a chance under 3e-7. Edge cases: a null or wordless text has
 an empty set and links with nothing; fewer than five words make one shingle; a null doc_id links with
@@ -35,8 +36,8 @@ THRESHOLD, CANDIDATE = 75, 0.57
 #: Equal low bits by chance, and the equal lanes that an estimate of CANDIDATE needs.
 CHANCE = 2.0**-LOW
 NEEDED = int(np.ceil(MINIMA * (CHANCE + CANDIDATE * (1 - CHANCE))))
-#: Members and bytes of shingles of one block; a cell holds two blocks.
-BLOCK_ROWS, BLOCK_BYTES, BUCKET_ROWS = 1024, 4 << 20, 1024
+#: Members and bytes of shingles of one block (a cell holds two blocks), and hubs of a larger group.
+BLOCK_ROWS, BLOCK_BYTES, BUCKET_ROWS, HUBS = 1024, 4 << 20, 1024, 3
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _RNG = np.random.default_rng(20240229)
@@ -230,8 +231,39 @@ def _bucket_forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield _edges_out(out)
 
 
+def _true_links(full: list[np.ndarray], sizes: np.ndarray, k: int, other: list[int]) -> list[int]:
+    """Those of the rows ``other`` that the full sets link with row ``k``."""
+    if not other:
+        return []
+    starts = np.cumsum([0, *sizes[other][:-1]])
+    every = np.concatenate([full[o] for o in other])
+    at = np.searchsorted(full[k], every)
+    at[at == len(full[k])] = 0
+    shared = np.add.reduceat((full[k][at] == every).astype(np.int64), starts)
+    return [o for o, both in zip(other, shared.tolist()) if 100 * both >= THRESHOLD * (sizes[k] + sizes[o] - both)]
+
+
+def _with_hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each block's rows with the hubs of its group by the full shingle sets, as forests."""
+    out: list[tuple[int, int]] = []
+    for t in _groups(batches, ["sc", "block"]):
+        ids, hub, sig = t.column("node").to_numpy(), t.column("hub").to_numpy(), _sig_of(t)
+        full = [shingles(x.as_py()) for x in t.column("text")]
+        sizes, sets = np.array([len(s) for s in full]), _Sets(len(ids))
+        for k in np.flatnonzero(hub).tolist():
+            other = np.flatnonzero(_equal_lanes(sig, sig[k]) >= NEEDED).tolist()
+            own = sets.find(k)
+            for o in _true_links(full, sizes, k, [o for o in other if sets.find(o) != own]):
+                if sets.join(k, o):
+                    out.append((int(ids[k]), int(ids[o])))
+        if len(out) > 5000:
+            yield _edges_out(out)
+            out = []
+    yield _edges_out(out)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each cell by the full shingle sets, as spanning forests."""
+    """Links of each cell by the full shingle sets, beside those known (equal roots), as spanning forests."""
     out: list[tuple[int, int]] = []
     for t in _groups(batches, ["sc", "i", "j"]):
         if t.num_rows < 2:
@@ -241,24 +273,19 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = [shingles(x.as_py()) for x in t.column("text")]
         sizes = np.array([len(s) for s in full])
         sig, sets = _sig_of(t), _Sets(len(ids))
+        first: dict[int, int] = {}
+        for k, r in enumerate(t.column("root").to_pylist()):
+            sets.join(first.setdefault(r, k), k)
         # near-certain links first, so that the rest has fewer pairs left to look at
         for needed in (int(0.9 * MINIMA), NEEDED) if len(ids) > 8 else (NEEDED,):
             for k in range(len(ids) - 1):
                 wanted = _equal_lanes(sig[k + 1 :], sig[k]) >= needed
                 if i != j:
                     wanted &= block[k + 1 :] != block[k]
-                other = np.flatnonzero(wanted) + k + 1
+                other = (np.flatnonzero(wanted) + k + 1).tolist()
                 own = sets.find(k)
-                other = [o for o in other.tolist() if sets.find(o) != own]
-                if not other:
-                    continue
-                starts = np.cumsum([0, *sizes[other][:-1]])
-                every = np.concatenate([full[o] for o in other])
-                at = np.searchsorted(full[k], every)
-                at[at == len(full[k])] = 0
-                shared = np.add.reduceat((full[k][at] == every).astype(np.int64), starts)
-                for o, both in zip(other, shared.tolist()):
-                    if 100 * both >= THRESHOLD * (sizes[k] + sizes[o] - both) and sets.join(k, o):
+                for o in _true_links(full, sizes, k, [o for o in other if sets.find(o) != own]):
+                    if sets.join(k, o):
                         out.append((int(ids[k]), int(ids[o])))
         if len(out) > 5000:
             yield _edges_out(out)
@@ -266,15 +293,44 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _edges_out(out)
 
 
-def _dealt(df: DataFrame, blocks) -> DataFrame:
-    """Deal the rows of each key to ``blocks`` blocks."""
-    return df.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _parted(rows: DataFrame, key: str, unit: int) -> DataFrame:
+    """Deal the rows (key, node, root, w, all: the key's sum of w) of each key with several roots to blocks.
+
+    Rows of one root are linked already. So a key of over ``unit`` has the rows of its largest root in blocks
+    of their own, which meet the blocks of the others and not one another: ``others`` are a block's partners.
+    """
+    roots = rows.groupBy(key, "root").agg(F.sum("w").alias("w"))
+    plan = roots.groupBy(key).agg(F.sum("w").alias("all"), F.max("w").alias("most"), F.max_by("root", F.struct("w", "root")).alias("main")).where("all > most")
+    blocks, small = F.ceil(F.col("all") / unit).cast("int"), F.col("all") <= unit
+    # a key that much of the corpus shares must not meet its plan in one task
+    plan = plan.select(
+        key,
+        F.when(~small, F.col("main")).alias("main"),
+        F.when(small, 1).otherwise(F.ceil((F.col("all") - F.col("most")) / unit)).cast("int").alias("rest"),
+        F.when(small, 0).otherwise(F.ceil(F.col("most") / unit)).cast("int").alias("most"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("salt"),
+    )
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node", F.lit("salt")), blocks).cast("int")).join(plan, [key, "salt"])
+    linked, at = F.col("root").eqNullSafe(F.col("main")), F.xxhash64("node")
+    block = F.when(linked, F.col("rest") + F.pmod(at, F.greatest("most", F.lit(1)))).otherwise(F.pmod(at, F.col("rest"))).cast("int")
+    last = F.col("rest") + F.when(linked, 0).otherwise(F.col("most")) - 1
+    return rows.withColumns({"block": block, "others": F.sequence(F.lit(0), last)}).drop("salt", "main", "rest", "most", "w", "all")
 
 
 def _cells(df: DataFrame) -> DataFrame:
-    """Each block's rows in its cells with all blocks of its key."""
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return df.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+    """Each block's rows in its cells with all its partners."""
+    df = df.withColumn("other", F.explode("others"))
+    return df.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("others", "other")
+
+
+def _hub_links(large: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of the rows (sc, node, sig, all) of groups larger than a block with up to HUBS rows of each."""
+    hubs = large.groupBy("sc", F.pmod(F.xxhash64("node", F.lit("hub")), F.lit(HUBS))).agg(F.min_by("node", F.xxhash64("node")).alias("node"))
+    blocks = F.ceil(F.col("all") / BLOCK_BYTES).cast("int")
+    rows = large.join(hubs.select("node").distinct().withColumn("hub", F.lit(True)), "node", "left").join(texts, "node")
+    rows = rows.withColumn("block", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), blocks).cast("int")))))
+    rows = rows.select("sc", "block", "node", F.coalesce("hub", F.lit(False)).alias("hub"), "sig", "text")
+    return rows.repartition("sc", "block").sortWithinPartitions("sc", "block", "node").mapInArrow(_with_hubs, "a long, b long")
 
 
 def _grouped(df: DataFrame, key: str, function) -> DataFrame:
@@ -298,24 +354,23 @@ def link(docs: DataFrame) -> DataFrame:
     groups = components(star)
 
     # buckets that still hold several groups; a bucket of two has been decided by its hub
-    left = members.where("m > 2").join(groups, "node", "left").select("h", "node", "m", F.coalesce("root", "node").alias("root"))
-    left = _dealt(left, F.ceil(F.col("m") / BUCKET_ROWS))
-    mixed = left.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("blocks").alias("blocks")).where("lo <> hi")
-    # by bucket and block: a bucket that much of the corpus shares goes to many tasks
-    mixed = mixed.select("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    left = _cells(left.join(mixed, ["h", "block"]).join(sigs, "node"))
+    left = members.where("m > 2").join(groups, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"), F.lit(1).cast("long").alias("w"), F.col("m").alias("all"))
+    left = _cells(_parted(left, "h", BUCKET_ROWS).join(sigs, "node"))
     more = stage(_grouped(left, "h", _bucket_forests), "more")
     if not more.isEmpty():
         groups = components(star.unionByName(more))
 
     # confirm each group on full sets
     inside = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "sc")
-    inside = inside.join(classes.select("node", "n", "sig"), "node")
-    weight = inside.groupBy("sc").agg(F.greatest(F.ceil(F.sum("n") * 8 / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).alias("blocks"))
-    inside = inside.join(weight, "sc").withColumnRenamed("blocks", "b")
+    inside = inside.join(classes.select("node", "sig", F.greatest(F.col("n") * 8, F.lit(BLOCK_BYTES // BLOCK_ROWS)).alias("w")), "node")
+    inside = stage(inside.join(inside.groupBy("sc").agg(F.sum("w").alias("all")), "sc"), "inside")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    cells = _cells(_dealt(inside.join(texts, "node"), F.col("b"))).select("sc", "i", "j", "block", "node", "sig", "text")
-    linked = components(stage(_grouped(cells, "sc", _confirm), "links"))
+    links = stage(_hub_links(inside.where(F.col("all") > BLOCK_BYTES), texts), "hub-links")
+    known = inside.withColumn("root", F.col("node"))
+    if not links.isEmpty():
+        known = inside.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    cells = _cells(_parted(known, "sc", BLOCK_BYTES).join(texts, "node")).select("sc", "i", "j", "block", "node", "root", "sig", "text")
+    linked = components(links.unionByName(stage(_grouped(cells, "sc", _confirm), "links")))
 
     # rows without words, or without doc_id, aren't joined: as null keys they would meet in one task
     out = named.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest").join(linked, "node", "left")

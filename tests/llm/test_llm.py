@@ -136,6 +136,20 @@ def test_minhash_equals_brute_force(spark, monkeypatch, block):
     assert got == {i: (c, c == i) for i, c in want.items()}
 
 
+def test_minhash_cells_hold_every_open_pair(spark):
+    # key 1: a hot root and 7 others; key 2: one root only; key 3: all roots differ; key 4: fits one block
+    rows = [(1, i, 0 if i < 200 else i) for i in range(207)] + [(2, 300 + i, 300) for i in range(50)] + [(3, 400 + i, 400 + i) for i in range(30)] + [(4, 500 + i, 500 + i // 2) for i in range(6)]
+    size = {k: sum(r[0] == k for r in rows) for k in range(5)}
+    d = spark.createDataFrame([(*r, 1, size[r[0]]) for r in rows], "h long, node long, root long, w long, all long")
+    cells = {}
+    for r in minhash._cells(minhash._parted(d, "h", 10)).collect():
+        cells.setdefault((r.h, r.i, r.j), []).append(r)
+    met = {(a.h, a.node, b.node) for c in cells.values() for a in c for b in c if a.i == a.j or a.block != b.block}
+    assert all((h, a, b) in met for h, a, x in rows for g, b, y in rows if g == h and x != y)
+    assert not any(h == 2 for h, _, _ in cells) and sum(len(c) for (h, _, _), c in cells.items() if h == 1) == 200 + 7 * 21
+    assert {(i, j) for h, i, j in cells if h == 4} == {(0, 0)}
+
+
 def test_minhash_awkward(spark):
     rows = minhash.link(docs(spark, AWKWARD).select("doc_id", "text")).collect()
     assert len(rows) == len(AWKWARD) and all(r.kept for r in rows if r.doc_id is None)
