@@ -59,6 +59,16 @@ def carry(df: DataFrame, *needed: str) -> DataFrame:
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *needed)
 
 
+def carry_rest(df: DataFrame, changed: str) -> DataFrame:
+    """A struct ``_row`` of all columns but ``changed``, and that one: no name can clash, nothing goes twice."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns if c != changed)).alias("_row"), changed)
+
+
+def carried(names: list[str], **changed) -> list[F.Column]:
+    """The columns ``names`` of what ``carry_rest`` has packed, those ``changed`` as given."""
+    return [changed[c].alias(c) if c in changed else F.col(f"_row.`{c}`") for c in names]
+
+
 def unit_hash(seed: str, *cols) -> F.Column:
     """A number in [0, 1) from 52 bits of MD5 over the seed and the columns (null: empty)."""
     text = F.concat_ws(":", F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols))

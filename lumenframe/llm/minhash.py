@@ -323,11 +323,11 @@ def _cells(df: DataFrame) -> DataFrame:
     return df.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("others", "other")
 
 
-def _hub_links(large: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) of the rows (sc, node, sig, all) of groups larger than a block with up to HUBS rows of each."""
+def _hub_links(large: DataFrame) -> DataFrame:
+    """Links (a, b) of the rows (sc, node, sig, all, text) of groups larger than a block with up to HUBS rows of each."""
     hubs = large.groupBy("sc", F.pmod(F.xxhash64("node", F.lit("hub")), F.lit(HUBS))).agg(F.min_by("node", F.xxhash64("node")).alias("node"))
     blocks = F.ceil(F.col("all") / BLOCK_BYTES).cast("int")
-    rows = large.join(hubs.select("node").distinct().withColumn("hub", F.lit(True)), "node", "left").join(texts, "node")
+    rows = large.join(hubs.select("node").distinct().withColumn("hub", F.lit(True)), "node", "left")
     rows = rows.withColumn("block", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), blocks).cast("int")))))
     rows = rows.select("sc", "block", "node", F.coalesce("hub", F.lit(False)).alias("hub"), "sig", "text")
     return rows.repartition("sc", "block").sortWithinPartitions("sc", "block", "node").mapInArrow(_with_hubs, "a long, b long")
@@ -363,13 +363,14 @@ def link(docs: DataFrame) -> DataFrame:
     # confirm each group on full sets
     inside = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("root", "sc")
     inside = inside.join(classes.select("node", "sig", F.greatest(F.col("n") * 8, F.lit(BLOCK_BYTES // BLOCK_ROWS)).alias("w")), "node")
-    inside = stage(inside.join(inside.groupBy("sc").agg(F.sum("w").alias("all")), "sc"), "inside")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    links = stage(_hub_links(inside.where(F.col("all") > BLOCK_BYTES), texts), "hub-links")
+    inside = inside.join(inside.groupBy("sc").agg(F.sum("w").alias("all")), "sc")
+    # with their texts, so that the corpus is shuffled once and candidates alone go on; repeated rows count once
+    inside = stage(inside.join(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), "node").distinct(), "inside")
+    links = stage(_hub_links(inside.where(F.col("all") > BLOCK_BYTES)), "hub-links")
     known = inside.withColumn("root", F.col("node"))
     if not links.isEmpty():
         known = inside.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    cells = _cells(_parted(known, "sc", BLOCK_BYTES).join(texts, "node")).select("sc", "i", "j", "block", "node", "root", "sig", "text")
+    cells = _cells(_parted(known, "sc", BLOCK_BYTES)).select("sc", "i", "j", "block", "node", "root", "sig", "text")
     linked = components(links.unionByName(stage(_grouped(cells, "sc", _confirm), "links")))
 
     # rows without words, or without doc_id, aren't joined: as null keys they would meet in one task

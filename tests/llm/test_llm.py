@@ -131,7 +131,11 @@ def test_minhash_equals_brute_force(spark, monkeypatch, block):
             t[int(rng.integers(0, 120))] = "edit"
         texts.append((i, " ".join(t)))
     texts += [(100, texts[7][1]), (101, ""), (102, None), (103, "a b"), (104, "A b")]
-    got = {r.doc_id: (r.component_id, r.kept) for r in minhash.link(docs(spark, [(i, t, "s") for i, t in texts])).collect()}
+    # repeated rows must not multiply
+    again = [(3, texts[3][1])] * 40
+    rows = minhash.link(docs(spark, [(i, t, "s") for i, t in texts + again])).collect()
+    assert len(rows) == len(texts) + len(again)
+    got = {r.doc_id: (r.component_id, r.kept) for r in rows}
     want = brute_components(texts)
     assert got == {i: (c, c == i) for i, c in want.items()}
 
