@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.llm import minhash, mixing, packing, pii, toxicity
-from lumenframe.llm.common import carry, stage, table
+from lumenframe.llm.common import carried, carry, carry_rest, stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     toxic = chain.names.index("toxic")
-    return toxicity.score(carry(docs, "text"), chain).where(F.get("_p", F.lit(toxic)) < 0.5).select("_row.*")
+    out = toxicity.score(carry_rest(docs, "text"), chain).where(F.get("_p", F.lit(toxic)) < 0.5)
+    return out.select(*carried(docs.columns, text=F.col("text")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data and secrets; null and empty texts stay as they are."""
-    out = pii.redact(carry(docs, "text"), pii.checked_key(docs))
-    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return out.select(*(changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
+    out = pii.redact(carry_rest(docs, "text"), pii.checked_key(docs))
+    return out.select(*carried(docs.columns, text=F.col("text"), n_chars=F.length("text").cast("long")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
