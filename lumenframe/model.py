@@ -6,11 +6,13 @@ row and loses ``pixels`` and ``mask``; everything computed from them is then nul
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .functions.arrays import let
+
 BBOX = "struct<minr:int,minc:int,maxr:int,maxc:int>"
 
 
@@ -58,19 +60,18 @@ def held(df: DataFrame, **columns: Column) -> DataFrame:
 def image_rows(sparse: DataFrame, shape: tuple[int, ...]) -> DataFrame:
     """Image rows (event, shape, pixels) from (event, i, v), i the place in the flat array.
 
-    Values of one place add up; absent places are 0. A group gathers as many rows as an image has pixels.
+    Values of one place add up; absent places are 0, a place beyond the image raises. A group gathers as many
+    rows as an image has pixels. Images are filled in the JVM, a row at a time: a batch of large frames would
+    be many times the memory of the values that fill them.
     """
-    size = int(np.prod(shape))
+    size = math.prod(shape)
 
-    @F.pandas_udf("array<double>")
-    def dense(at: pd.Series, v: pd.Series) -> pd.Series:
-        out = []
-        for i, x in zip(at, v):
-            full = np.zeros(size)
-            full[np.asarray(i, int)] = x
-            out.append(full)
-        return pd.Series(out)
+    def dense(s):
+        runs = F.transform(s, lambda x, k: F.concat(F.array_repeat(F.lit(0.0), x.i - F.coalesce(F.get(s, k - 1).i, F.lit(-1)) - 1), F.array(F.coalesce(x.v, F.lit(0.0)))))
+        first, last = F.get(s, F.lit(0)).i, F.element_at(s, -1).i
+        beyond = F.raise_error(F.concat(F.lit("a pixel beyond the image of event "), F.col("event").cast("string")))
+        return F.when((first >= 0) & (last < size), F.concat(F.flatten(runs), F.array_repeat(F.lit(0.0), size - 1 - last))).otherwise(beyond.cast("array<double>"))
 
     each = sparse.groupBy("event", F.col("i").cast("int").alias("i")).agg(F.sum(F.col("v").cast("double")).alias("v"))
     g = each.groupBy("event").agg(F.collect_list(F.struct("i", "v")).alias("s"))
-    return held(g.withColumn("_p", dense("s.i", "s.v")), shape=F.array(*map(F.lit, shape)), pixels=F.col("_p")).drop("s", "_p")
+    return held(g, shape=F.array(*map(F.lit, shape)), pixels=let(F.sort_array("s"), dense)).drop("s")

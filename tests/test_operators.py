@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions.arrays import normality, statistics
 from lumenframe.functions.features import features
 from lumenframe.kernels.intensity import edge
+from lumenframe.model import image_rows
 from lumenframe.operators import filters, illumination, masking, normalization, projection, sampling, segmentation
 from lumenframe.plans.pipeline import build, validate
 
@@ -68,6 +69,34 @@ def test_projection_and_illumination(spark, images):
         illumination.divide(images, illumination.mean_images(images.where("group = 'one'"), "group"), "group").collect()
 
 
+def test_images_are_filled_and_projected_without_python(spark):
+    sparse = spark.createDataFrame([(1, 0, 2.0), (1, 11, 5.0), (1, 11, 1.0), (1, 4, None), (2, 7, -3.0)], "event long, i int, v double")
+    stacks = image_rows(sparse, (2, 3, 1, 2))
+    d = projection.project(stacks)
+    # batches of whole stacks in Python's workers took most of an executor's memory
+    assert "Python" not in d._jdf.queryExecution().toString()
+    got = {r.event: (r.shape, r.pixels) for r in stacks.collect()}
+    assert got == {1: ([2, 3, 1, 2], [2.0] + [0.0] * 10 + [6.0]), 2: ([2, 3, 1, 2], [0.0] * 7 + [-3.0] + [0.0] * 4)}
+    assert {r.event: (r.shape, r.pixels) for r in d.collect()} == {1: ([2, 1, 2], [2, 0, 0, 6]), 2: ([2, 1, 2], [0, 0, 0, 0])}
+    for place in (-1, 12):
+        with pytest.raises(Exception, match="beyond the image of event 1"):
+            image_rows(spark.createDataFrame([(1, 3, 1.0), (1, place, 1.0)], "event long, i int, v double"), (2, 3, 1, 2)).collect()
+
+
+def test_projections_equal_numpy(spark):
+    rng = np.random.default_rng(6)
+    shapes = [[3, 7, 4, 5], [1, 1, 2, 3], [2, 4, 3, 3]]
+    stacks = [rng.integers(-50, 50, s).astype(float) for s in shapes]
+    stacks[0][1, 2, 3, 4] = np.inf
+    d = spark.createDataFrame([(k, s, a.ravel().tolist()) for k, (s, a) in enumerate(zip(shapes, stacks))] + [(9, shapes[0], None)], "event long, shape array<int>, pixels array<double>")
+    for op in ("max", "mean", "median"):
+        got = {r.event: (r.shape, r.pixels) for r in projection.project(d, op).collect()}
+        assert got.pop(9) == ([3, 4, 5], None)
+        for k, a in enumerate(stacks):
+            want = projection.OPS[op](a, axis=1)
+            assert got[k][0] == list(want.shape) and np.allclose(got[k][1], want.ravel()), (op, k)
+
+
 def test_sampling_sizes(images):
     assert [sampling.sample(images, k).count() for k in (2, 8, 50)] == [2, 8, 10]
     assert sampling.sample_with_replacement(images, 20).count() == 20
