@@ -23,15 +23,15 @@ _ROWS = T.ArrayType(T.ArrayType(T.DoubleType()))
 TYPES = ("regions", "bbox", "shape", "raw", "intensity", "texture")
 
 
-def _known(a: np.ndarray) -> list:
-    """Nested lists with null for NaN."""
-    return np.where(np.isnan(a), None, a).tolist()
+def _rows(*rows: np.ndarray) -> list:
+    """Rows as they are, NaN being null to Arrow: lists of Python's numbers would be three times as large."""
+    return [np.asarray(r, float) for r in rows]
 
 
 @F.pandas_udf(_ROWS)
 def raw_features(pixels: pd.Series, shape: pd.Series) -> pd.Series:
     """STATISTICS of each whole channel."""
-    return pd.Series([None if p is None else [_known(statistics(a)) for a in np.asarray(p, float).reshape(s[0], -1)] for p, s in zip(pixels, shape)])
+    return pd.Series([None if p is None else _rows(*(statistics(a) for a in np.asarray(p, float).reshape(s[0], -1))) for p, s in zip(pixels, shape)])
 
 
 def intensity_features(radius: int = EDGE):
@@ -48,7 +48,7 @@ def intensity_features(radius: int = EDGE):
             joint = np.asarray(c, bool).reshape(s[1], s[2])
             joint_edge = edge(joint, radius)
             channels = zip(np.asarray(p, float).reshape(tuple(s)), np.asarray(m, bool).reshape(tuple(s)), b, jb)
-            out.append([_known(views(x, own, joint, joint_edge, y, z, radius)) for x, own, y, z in channels])
+            out.append([_rows(*views(x, own, joint, joint_edge, y, z, radius)) for x, own, y, z in channels])
         return pd.Series(out)
 
     return run
@@ -63,7 +63,7 @@ def shape_features(masks: pd.Series, combined: pd.Series, shape: pd.Series) -> p
             out.append(None)
             continue
         every = [np.asarray(c, bool).reshape(s[1], s[2]), *np.asarray(m, bool).reshape(tuple(s))]
-        out.append([[None if np.isnan(x) else float(x) for x in shape_row(k)] for k in every])
+        out.append(_rows(*map(shape_row, every)))
     return pd.Series(out)
 
 
@@ -78,7 +78,7 @@ def texture_features(pixels: pd.Series, masks: pd.Series, combined: pd.Series, s
         x, own = np.asarray(p, float).reshape(tuple(s)), np.asarray(m, bool).reshape(tuple(s))
         joint = np.asarray(c, bool).reshape(s[1], s[2])
         rows = [glcm_row(a, k) for a, k in zip(x, own)] + [glcm_row(a, joint if k.any() else k) for a, k in zip(x, own)]
-        out.append([[None if np.isnan(y) else float(y) for y in r] for r in rows])
+        out.append(_rows(*rows))
     return pd.Series(out)
 
 

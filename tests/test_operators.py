@@ -1,9 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions.arrays import normality, statistics
-from lumenframe.functions.features import features
+from lumenframe.functions.features import features, intensity_features, raw_features, shape_features, texture_features
 from lumenframe.kernels.intensity import edge
 from lumenframe.model import image_rows
 from lumenframe.operators import filters, illumination, masking, normalization, projection, sampling, segmentation
@@ -97,6 +98,24 @@ def test_projections_equal_numpy(spark):
             assert got[k][0] == list(want.shape) and np.allclose(got[k][1], want.ravel()), (op, k)
 
 
+def test_features_stay_numpy_rows_with_null_for_nan():
+    """Lists of Python's numbers, three times as large, stayed in the workers' memory."""
+    pixels, mask = pd.Series([np.ones(100), None]), pd.Series([np.arange(100) < 30, None])
+    shape, back = pd.Series([[1, 10, 10]] * 2), pd.Series([[1.0], None])
+    raw = raw_features.func(pixels, shape)
+    wide = intensity_features().func(pixels, mask, mask, back, back, shape)
+    shaped, texture = shape_features.func(mask, mask, shape), texture_features.func(pixels, mask, mask, shape)
+    assert all(x[1] is None for x in (raw, wide, shaped, texture))
+    assert all(isinstance(r, np.ndarray) for x in (raw[0], wide[0][0], shaped[0], texture[0]) for r in x)
+
+
+def test_undefined_features_are_null(images):
+    flat = images.withColumn("pixels", F.transform("pixels", lambda x: x * 0 + 1))
+    row = features(masking.apply(masking.make(flat, "circle"), 3), list("abc"), ["shape", "raw", "intensity", "texture"]).first().asDict()
+    assert row["feat_skewness_a"] is None and row["feat_bgcorr_kurtosis_b"] is None and row["feat_mean_a"] == 1
+    assert not any(x != x for x in row.values() if isinstance(x, float))
+
+
 def test_sampling_sizes(images):
     assert [sampling.sample(images, k).count() for k in (2, 8, 50)] == [2, 8, 10]
     assert sampling.sample_with_replacement(images, 20).count() == 20
